@@ -1,0 +1 @@
+"""Every extract is a batch over accounting months; there is no streaming work to hold here."""
