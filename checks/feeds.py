@@ -6,6 +6,7 @@ join order nor the grain of the Spark plans.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,12 +28,23 @@ CLAIM_START, CLAIM_END = (1999, 12), (2000, 12)
 WITH_PERIOD = ("gain", "majesco")
 
 
+_parts: dict[tuple[str, str], Parts] = {}
+
+
+def parts(spark: SparkSession, sf_dir: str) -> Parts:
+    """The side datasets, with attribute types and hot keys found once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _parts:
+        _parts[key] = Parts(warehouse(spark, sf_dir))
+    return _parts[key]
+
+
 def policy_feeds(spark: SparkSession, sf_dir: str, period=None) -> PolicyFeeds:
-    return PolicyFeeds(Parts(warehouse(spark, sf_dir)), period)
+    return PolicyFeeds(parts(spark, sf_dir), period)
 
 
 def claim_feeds(spark: SparkSession, sf_dir: str) -> ClaimFeeds:
-    return ClaimFeeds(Parts(warehouse(spark, sf_dir)), CLAIM_START, CLAIM_END)
+    return ClaimFeeds(parts(spark, sf_dir), CLAIM_START, CLAIM_END)
 
 
 def policy_feed(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -618,6 +630,87 @@ def sliced_claims_sql() -> str:
   OR ("Accounting Year" = '2000' AND CAST("Accounting Month" AS INT) < 12)""")
 
 
+# Side datasets: each as a query of its own.
+
+
+def _part(build) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: comparable(build(parts(spark, sf_dir)))
+
+
+def _money_cells(alias: str, family: str) -> str:
+    cells = [f'{alias}."{family} - {t}"' for t in _FAMILIES[family][1]]
+    return ", ".join(f"{_NUMBER.format(c)} AS {c.partition('.')[2]}" for c in cells)
+
+
+def _exposure_sql() -> str:
+    amounts = _money_cells("x", "Line of Business Exposure Amount")
+    bases = ", ".join(
+        f'x."Line of Business Exposure Base - {t}"'
+        for t in _FAMILIES["Line of Business Exposure Base"][1]
+    )
+    return f"""SELECT l.hash_plcy_id, l.hash_lob_id, {amounts}, {bases}
+FROM lnk_plcy_lob l LEFT JOIN {_EXPOSURES} x USING (hash_plcy_lob_id)"""
+
+
+_PARTS = {
+    "primary_address": (lambda p: p.primary_address(), f"SELECT * FROM {_ADDRESS}"),
+    "insured_party": (lambda p: p.insured(), f"SELECT * FROM {_INSURED}"),
+    "insurer_latest": (
+        lambda p: p.insurer_latest("109"),
+        f"SELECT * FROM {_insurer_latest('109')}",
+    ),
+    "insurer_names": (
+        lambda p: p.insurer_names("Arrowhead", with_code=True),
+        f"SELECT * FROM {_insurer_names('Arrowhead', 'o.org_cd,')}",
+    ),
+    "producer_numbers": (lambda p: p.producers("217"), f"SELECT * FROM {_PRODUCERS}"),
+    "agency_chain": (
+        lambda p: p.agencies(),
+        f"SELECT n AS acct_number, * EXCLUDE (n) FROM {_AGENCY}",
+    ),
+    "company_list": (
+        lambda p: p.companies(),
+        f'SELECT cd AS "Company_Code", nm AS "Company_Name" FROM {_COMPANIES}',
+    ),
+    "state_list": (lambda p: p.states(), f'SELECT cd AS "Code" FROM {_STATES}'),
+    "policy_revision_commission": (
+        lambda p: p.policy_revision_commission("217"),
+        f"""SELECT hash_plcy_id, CAST(endrsmt_revsn_nbr AS BIGINT) AS endrsmt_revsn_nbr,
+  CAST(cmsn_pct AS DOUBLE) AS cmsn_pct, CAST(cmsn_amt AS DOUBLE) AS cmsn_amt
+FROM {_PRWINS_COMMISSION}""",
+    ),
+    "coverage_commission": (
+        lambda p: p.coverage_commission("220"),
+        f"""SELECT * REPLACE (CAST(cmsn_pct AS DOUBLE) AS cmsn_pct,
+  CAST(cmsn_amt AS DOUBLE) AS cmsn_amt) FROM {_XM_COMMISSION}""",
+    ),
+    "policy_limits": (
+        lambda p: p.policy_limits(),
+        f"SELECT hash_plcy_id, {_money_cells('w', 'Policy Limit Amount')} FROM {_LIMITS} w",
+    ),
+    "coverage_deductibles": (
+        lambda p: p.coverage_deductibles(),
+        f"""SELECT hash_plcy_cvrg_id, {_money_cells('w', 'Coverage Deductible Amount')}
+FROM {_DEDUCTIBLES} w""",
+    ),
+    "coverage_limits": (
+        lambda p: p.coverage_limits(),
+        f"""SELECT hash_plcy_cvrg_id, {_money_cells('w', 'Coverage Limit Amount')}
+FROM {_COVERAGE_LIMITS} w""",
+    ),
+    "schedule_modifiers": (
+        lambda p: p.schedule_modifiers(),
+        f"""SELECT ref_id, {_money_cells('w', 'Coverage Level Schedule Modifier Rate Percent')}
+FROM {_MODIFIERS} w""",
+    ),
+    "lob_exposures": (lambda p: p.lob_exposures(), _exposure_sql()),
+    "lob_iso_codes": (
+        lambda p: p.lob_iso_codes(),
+        """SELECT l.hash_plcy_id, l.hash_lob_id, x.iso_cd
+FROM lnk_plcy_lob l LEFT JOIN sat_plcy_lob_dtl x USING (hash_plcy_lob_id)""",
+    ),
+}
+
 QUERIES = {
     **{f"feed_{n}": partial(policy_feed, n) for n in FEEDS},
     "union_feeds": combined_policies,
@@ -632,6 +725,7 @@ QUERIES = {
     "feed_duplicates": repeated_transactions,
     "run_audit": feed_audit,
     "spot_check": feed_spot_check,
+    **{name: _part(build) for name, (build, _) in _PARTS.items()},
 }
 
 ORACLES = {
@@ -648,4 +742,5 @@ ORACLES = {
     "feed_duplicates": repeated_sql(),
     "run_audit": audit_sql(),
     "spot_check": spot_check_sql(),
+    **{name: with_tables(sql) for name, (_, sql) in _PARTS.items()},
 }

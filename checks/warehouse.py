@@ -11,6 +11,7 @@ claim = order, claim transaction = line item.
 from __future__ import annotations
 
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -360,6 +361,7 @@ def with_tables(select: str, *names: str) -> str:
     return f"WITH {ctes}\n{select}"
 
 
+# Paths of derived tables, per application, data folder and table.
 _stored: dict[tuple[str, str, str], str] = {}
 
 
@@ -367,23 +369,31 @@ def given(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _store(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Write a derived table once per session and read it back."""
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name in GIVEN:
+        return given(spark, sf_dir, name)
+    return spark.read.parquet(_stored[spark.sparkContext.applicationId, sf_dir, name])
+
+
+def _store(spark: SparkSession, sf_dir: str, name: str) -> None:
+    """Write one derived table; a table that is already there is left alone."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _stored:
-        text = STAGING.get(name) or TABLES[name]
-        frames = {
-            t: given(spark, sf_dir, t) if t in GIVEN else _store(spark, sf_dir, t)
-            for t in _inputs(text)
-        }
-        text = _with_json(text, "concat_ws(',', collect_list({}))")
-        text = text.replace("{", "{{").replace("}", "}}")
-        text = re.sub(r"\b(FROM|JOIN)\s+(\w+)", r"\1 {\2}", text)
-        path = scratch_path(spark, name)
-        spark.sql(text, **frames).write.parquet(path)
-        _stored[key] = path
-    return spark.read.parquet(_stored[key])
+    if key in _stored:
+        return
+    text = STAGING.get(name) or TABLES[name]
+    frames = {t: _read(spark, sf_dir, t) for t in _inputs(text)}
+    text = _with_json(text, "concat_ws(',', collect_list({}))")
+    text = text.replace("{", "{{").replace("}", "}}")
+    text = re.sub(r"\b(FROM|JOIN)\s+(\w+)", r"\1 {\2}", text)
+    path = scratch_path(spark, name)
+    spark.sql(text, **frames).write.parquet(path)
+    _stored[key] = path
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
-    return Warehouse(lambda name: _store(spark, sf_dir, name), names=tuple(TABLES))
+    """The derived warehouse, written once per session: staging first, then all tables at once."""
+    for name in STAGING:
+        _store(spark, sf_dir, name)
+    with ThreadPoolExecutor(8) as pool:
+        list(pool.map(lambda name: _store(spark, sf_dir, name), TABLES))
+    return Warehouse(lambda name: _read(spark, sf_dir, name), names=tuple(TABLES))

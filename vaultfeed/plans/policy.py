@@ -225,8 +225,8 @@ FEEDS = {
 
 def tagged(df: DataFrame, prefix: str, keep: Sequence[str] = ()) -> DataFrame:
     """Columns named after their table, so that no two joined tables share a name."""
-    names = list(keep) or df.columns
-    return df.select(*[F.col(f"`{c}`").alias(f"{prefix}_{c}") for c in names])
+    kept = df.select(*keep) if keep else df
+    return kept.toDF(*[f"{prefix}_{c}" for c in kept.columns])
 
 
 def on(left: str, right: str, *names: str) -> list[tuple[str, str]]:
