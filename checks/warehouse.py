@@ -358,7 +358,7 @@ def with_tables(select: str, *names: str) -> str:
     for name in names or _inputs(select):
         need(name)
     ctes = ",\n".join(f"{name} AS ({text})" for name, text in wanted.items())
-    return f"WITH {ctes}\n{select}"
+    return f"WITH {ctes}\n{select}" if wanted else select
 
 
 # Paths of derived tables, per application, data folder and table.
@@ -386,7 +386,11 @@ def _store(spark: SparkSession, sf_dir: str, name: str) -> None:
     text = text.replace("{", "{{").replace("}", "}}")
     text = re.sub(r"\b(FROM|JOIN)\s+(\w+)", r"\1 {\2}", text)
     path = scratch_path(spark, name)
-    spark.sql(text, **frames).write.parquet(path)
+    table = spark.sql(text, **frames)
+    if name in STAGING:
+        # The given tables are single files: spread them, so that later scans run in parallel.
+        table = table.repartition(spark.sparkContext.defaultParallelism)
+    table.write.parquet(path)
     _stored[key] = path
 
 

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NULL_TYPE = "NA"
 
+# Up to this many cells one conditional aggregate each: a single shuffle on the key. Beyond it the
+# two-step pivot, which shuffles twice but looks at each row once.
+_FEW_CELLS = 48
+
 
 def distinct_types(df: DataFrame, type_column: str, at_most: int = 1_000) -> list[str]:
     """Sorted distinct types, null as ``NA``. Types become columns, so too many is an error."""
@@ -34,19 +38,21 @@ def widen(
     """
     if types is None:
         types = distinct_types(df, type_column)
-    by_type = df.withColumn(type_column, F.coalesce(F.col(type_column), F.lit(NULL_TYPE)))
-    newest_value = [
-        F.max_by(
-            F.col(value),
-            F.when(F.col(value).isNotNull(), F.struct(*newest, F.col(value).alias("_v"))),
-        ).alias(f"m{i}")
-        for i, value in enumerate(measures.values())
-    ]
-    wide = by_type.groupBy(*keys).pivot(type_column, list(types)).agg(*newest_value)
-    cells = [f"{prefix} - {t}" for t in types for prefix in measures]
-    ordered = [f"{prefix} - {t}" for prefix in measures for t in types]
-    named = wide.toDF(*keys, *cells)
-    return named.select(*keys, *[F.col(f"`{c}`") for c in ordered])
+    kind = F.coalesce(F.col(type_column), F.lit(NULL_TYPE))
+
+    def newest_value(value: str, condition: Column) -> Column:
+        order = F.struct(*newest, F.col(value).alias("_v"))
+        return F.max_by(F.col(value), F.when(condition & F.col(value).isNotNull(), order))
+
+    cells = [(prefix, value, t) for prefix, value in measures.items() for t in types]
+    if len(cells) <= _FEW_CELLS:
+        return df.groupBy(*keys).agg(
+            *[newest_value(v, kind == t).alias(f"{prefix} - {t}") for prefix, v, t in cells]
+        )
+    each = [newest_value(v, F.lit(True)).alias(f"m{i}") for i, v in enumerate(measures.values())]
+    wide = df.withColumn(type_column, kind).groupBy(*keys).pivot(type_column, list(types)).agg(*each)
+    named = wide.toDF(*keys, *[f"{prefix} - {t}" for t in types for prefix in measures])
+    return named.select(*keys, *[F.col(f"`{prefix} - {t}`") for prefix, _, t in cells])
 
 
 def columns_with_prefix(df: DataFrame, *prefixes: str) -> list[str]:

@@ -47,12 +47,18 @@ COVERAGE_KEYS = (
 )
 
 
+def _of_policies(df: DataFrame, own: DataFrame | None) -> DataFrame:
+    """Rows of the given policies; all rows if none are given."""
+    return df if own is None else restrict_to(df, own, same("hash_plcy_id"), null_safe=True)
+
+
 class Parts:
     """The side datasets of one warehouse.
 
     ``types`` names the types of a family of wide columns; families left out are read from the
     data, all of them in one small job. ``min_hot_rows`` is the row count from which a key is
-    spread over several tasks.
+    spread over several tasks. Where a dataset takes ``own``, a frame of policy ids, only their
+    rows are built: a feed of one source then leaves the rows of the others alone.
     """
 
     def __init__(
@@ -145,18 +151,22 @@ class Parts:
         family = columns.POLICY_LIMIT
         return self._widen(family, "hash_plcy_id", {family: "lmt_amt"}, rows)
 
-    def _of_linked_coverages(self, table: str) -> DataFrame:
+    def _of_coverages(self, table: str, linked_only: bool) -> DataFrame:
+        rows = self._attribute_rows(table)
+        if not linked_only:
+            return rows
         linked = self["lnk_plcy_cvrg"].filter(F.col("hash_plcy_id").isNotNull())
-        return restrict_to(self._attribute_rows(table), linked, same("hash_plcy_cvrg_id"))
+        return restrict_to(rows, linked, same("hash_plcy_cvrg_id"))
 
-    def coverage_deductibles(self) -> DataFrame:
+    def coverage_deductibles(self, linked_only: bool = True) -> DataFrame:
+        """Deductibles of coverages that belong to a policy; a join from the link needs no check."""
         family = columns.DEDUCTIBLE
-        rows = self._of_linked_coverages("sat_plcy_cvrg_ded")
+        rows = self._of_coverages("sat_plcy_cvrg_ded", linked_only)
         return self._widen(family, "hash_plcy_cvrg_id", {family: "ded_amt"}, rows)
 
-    def coverage_limits(self) -> DataFrame:
+    def coverage_limits(self, linked_only: bool = True) -> DataFrame:
         family = columns.COVERAGE_LIMIT
-        rows = self._of_linked_coverages("sat_plcy_cvrg_lmt")
+        rows = self._of_coverages("sat_plcy_cvrg_lmt", linked_only)
         return self._widen(family, "hash_plcy_cvrg_id", {family: "lmt_amt"}, rows)
 
     def schedule_modifiers(self) -> DataFrame:
@@ -164,17 +174,22 @@ class Parts:
         rows = self._attribute_rows("sat_sched_mdfr")
         return self._widen(family, "ref_id", {family: "sched_mdfr_rt_pct"}, rows)
 
-    def lob_exposures(self) -> DataFrame:
+    def _policy_lobs(self, own: DataFrame | None) -> DataFrame:
+        link = self["lnk_plcy_lob"].select("hash_plcy_lob_id", "hash_plcy_id", "hash_lob_id")
+        return _of_policies(link, own)
+
+    def lob_exposures(self, own: DataFrame | None = None) -> DataFrame:
         """Exposure amount and base by type for each policy and line of business."""
         measures = {columns.EXPOSURE_AMOUNT: "expsr_amt", columns.EXPOSURE_BASE: "expsr_base"}
-        rows = self["sat_plcy_lob_expsr"]
+        link, rows = self._policy_lobs(own), self["sat_plcy_lob_expsr"]
+        if own is not None:
+            rows = restrict_to(rows, link, same("hash_plcy_lob_id"))
         wide = self._widen(columns.EXPOSURE_AMOUNT, "hash_plcy_lob_id", measures, rows)
-        link = self["lnk_plcy_lob"].select("hash_plcy_lob_id", "hash_plcy_id", "hash_lob_id")
         return spread_join(link, wide, same("hash_plcy_lob_id")).drop("hash_plcy_lob_id")
 
-    def lob_iso_codes(self) -> DataFrame:
-        link = self["lnk_plcy_lob"].select("hash_plcy_lob_id", "hash_plcy_id", "hash_lob_id")
+    def lob_iso_codes(self, own: DataFrame | None = None) -> DataFrame:
         iso = self["sat_plcy_lob_dtl"].select("hash_plcy_lob_id", "iso_cd")
+        link = self._policy_lobs(own)
         return spread_join(link, iso, same("hash_plcy_lob_id")).drop("hash_plcy_lob_id")
 
     # Code lists.
@@ -194,8 +209,10 @@ class Parts:
 
     # Parties, addresses, agencies.
 
-    def _parties(self, role: Column, source: str | None = None) -> DataFrame:
-        roles = self["lnk_plcy_prty_role"].filter(role)
+    def _parties(
+        self, role: Column, source: str | None = None, own: DataFrame | None = None
+    ) -> DataFrame:
+        roles = _of_policies(self["lnk_plcy_prty_role"].filter(role), own)
         orgs = self["sat_org"]
         if source:
             roles = roles.filter(F.col("rec_src_nm") == source)
@@ -220,10 +237,10 @@ class Parts:
         order = newest_first("btch_dt", "hash_plcy_prty_role_id")
         return latest_per_key(parties, ["hash_plcy_id"], order)
 
-    def insured(self) -> DataFrame:
+    def insured(self, own: DataFrame | None = None) -> DataFrame:
         """Newest insured party of each policy."""
         is_insured = F.lower("prty_role_tp_cd") == "insured"
-        return self._latest_party(self._parties(is_insured)).select(
+        return self._latest_party(self._parties(is_insured, own=own)).select(
             "hash_plcy_id", "sic_cd", "nbr_of_emp_cnt"
         )
 
@@ -257,8 +274,9 @@ class Parts:
         order = newest_first("btch_dt", "prodr_nbr")
         return latest_per_key(numbered, ["hash_plcy_id"], order).select("hash_plcy_id", "prodr_nbr")
 
-    def primary_address(self) -> DataFrame:
+    def primary_address(self, own: DataFrame | None = None) -> DataFrame:
         points = self["lnk_plcy_cntct_pnt"].filter(F.col("cntct_pnt_tp_cd") == "Primary_Address")
+        points = _of_policies(points, own)
         order = [*newest_first("btch_dt"), F.col("hash_cntct_pnt_id").asc_nulls_first()]
         latest = latest_per_key(points, ["hash_plcy_id"], order)
         address = self["sat_phys_addr"].select("hash_cntct_pnt_id", "pstl_cd", "city_nm", "cnty_nm")

@@ -277,8 +277,9 @@ class PolicyFeeds:
             with_code = feed.insurer == "names_and_codes"
             names = parts.insurer_names(feed.source, with_code)
             frame = attach(frame, names, "insr", feed.null_safe)
-        frame = attach(frame, parts.insured(), "insd")
-        frame = attach(frame, parts.primary_address(), "adr")
+        own = self._own_policies(feed)
+        frame = attach(frame, parts.insured(own), "insd")
+        frame = attach(frame, parts.primary_address(own), "adr")
         frame = attach(frame, parts.policy_limits(), "lim")
         if feed.producer:
             frame = attach(frame, parts.producers(feed.source), "prod")
@@ -305,6 +306,8 @@ class PolicyFeeds:
         link, detail = parts["lnk_plcy_cvrg"], parts["sat_plcy_cvrg_dtl"]
         if not feed.null_safe:
             link = blank_filled(link)
+        own, by_policy = self._own_policies(feed), [("hash_plcy_id", "hash_plcy_id")]
+        link = restrict_to(link, own, by_policy, feed.null_safe)
         if feed.newest_coverage:
             order = newest_first("btch_dt", "hash_plcy_cvrg_id")
             link = latest_per_key(link, feed.coverage_keys, order)
@@ -317,9 +320,9 @@ class PolicyFeeds:
             return spread_join(frame, right, [(key, f"{prefix}_hash_plcy_cvrg_id")], how)
 
         frame = attach(link, detail, "cov", "inner" if feed.coverage_required else "left")
-        frame = attach(frame, parts.coverage_deductibles(), "ded")
+        frame = attach(frame, parts.coverage_deductibles(linked_only=False), "ded")
         if feed.commercial:
-            frame = attach(frame, parts.coverage_limits(), "clm")
+            frame = attach(frame, parts.coverage_limits(linked_only=False), "clm")
         if feed.agency:
             bureau = parts["sat_plcy_cvrg_sar_dtl"].select("hash_plcy_cvrg_id", "tp_bur_cd")
             frame = attach(frame, bureau, "bur")
@@ -356,8 +359,9 @@ class PolicyFeeds:
             frame = attach(frame, treaties, "trty", ["hash_trty_id"], "treaty")
         if feed.commercial:
             policy_lob = ["hash_plcy_id", "hash_lob_id"]
-            frame = attach(frame, parts.lob_iso_codes(), "iso", policy_lob, "policy_lob", True)
-            frame = attach(frame, parts.lob_exposures(), "exp", policy_lob, "policy_lob", True)
+            own = self._own_policies(feed)
+            frame = attach(frame, parts.lob_iso_codes(own), "iso", policy_lob, "policy_lob", True)
+            frame = attach(frame, parts.lob_exposures(own), "exp", policy_lob, "policy_lob", True)
             frame = attach(frame, parts.schedule_modifiers(), "mod", ["ref_id"], "reference")
         if feed.state_names:
             states = tagged(parts.states_with_name(), "st")
