@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,15 +19,20 @@ from pyspark.sql import functions as F
 from vaultfeed.functions import codes
 from vaultfeed.functions.measures import commission_amount
 from vaultfeed.functions.period import text_in_range
-from vaultfeed.operators.joins import blank_filled, lookup_join, restrict_to, spread_join
+from vaultfeed.operators import joins
+from vaultfeed.operators.joins import blank_filled, restrict_to
 from vaultfeed.operators.newest import latest_per_key, newest_first
-from vaultfeed.operators.shape import pad_to_schema, project, union_by_name
+from vaultfeed.operators.shape import project, union_by_name
 from vaultfeed.operators.widen import columns_with_prefix
 from vaultfeed.plans import columns
 from vaultfeed.plans.parts import COVERAGE_KEYS, Parts
 
 Period = tuple[date, date]
 
+# Tables are tagged before they are joined here, so no key column has to be renamed or dropped.
+spread_join = partial(joins.spread_join, keep_keys=True)
+lookup_join = partial(joins.lookup_join, keep_keys=True)
+
 
 @dataclass(frozen=True)
 class Feed:
@@ -474,7 +480,6 @@ class PolicyFeeds:
         """One feed on the business schema, wide families last."""
         feed = self.feeds[name]
         frame = self.assemble(feed)
-        frame = frame.withColumn("hub_rec_src_nm", F.lit(feed.source))
         rate = "pct_cmsn_pct_calculated" if feed.commission == "net" else "cms_cmsn_pct"
         state = "st_CDDESC" if feed.state_names else feed.risk_state
         output: dict[str, Column] = {
@@ -498,7 +503,8 @@ class PolicyFeeds:
         ):
             for wide in columns_with_prefix(frame, f"{tag}_{prefix} - "):
                 output[wide.removeprefix(f"{tag}_")] = F.col(f"`{wide}`")
-        return pad_to_schema(project(frame, output), columns.POLICY_COLUMNS)
+        padded = {n: output.pop(n, F.lit("")) for n in columns.POLICY_COLUMNS}
+        return project(frame, {**padded, **output})
 
     def union(self, names: Sequence[str] | None = None) -> DataFrame:
         """All rows of the named feeds (default: all), on the columns of any of them."""
