@@ -18,9 +18,11 @@ from vaultfeed.functions.period import accounting_range
 from vaultfeed.operators.newest import repeated_keys
 from vaultfeed.operators.quality import reconcile, run_audit
 from vaultfeed.operators.shape import with_file_names
+from vaultfeed.plans import split
 from vaultfeed.plans.claims import ClaimFeeds, claim_slice
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
+from vaultfeed.sources import scratch_path
 
 BATCH_DATE, MONTHS = "20010101", 36
 PERIOD = accounting_range(BATCH_DATE, MONTHS)
@@ -53,7 +55,12 @@ def policy_feed(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def combined_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(policy_feeds(spark, sf_dir, PERIOD).union())
+    return comparable(_combined(spark, sf_dir))
+
+
+def _combined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "by-source")
+    return split.combined_policies(spark, parts(spark, sf_dir), path, PERIOD)
 
 
 def claim_feed(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +100,8 @@ def repeated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feeds = policy_feeds(spark, sf_dir, PERIOD)
     named = ["Source System Code"], "Changed Premium Amount", "Transaction Date"
-    return comparable(run_audit(feeds.union(), *named, BATCH_DATE))
+    return comparable(run_audit(_combined(spark, sf_dir), *named, BATCH_DATE))
 
 
 def feed_spot_check(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -66,15 +66,20 @@ class Parts:
         warehouse: Mapping[str, DataFrame],
         types: Mapping[str, Sequence[str]] | None = None,
         min_hot_rows: int = 1_000_000,
+        hot: dict[str, dict[str, list[int]]] | None = None,
     ):
         self.warehouse = warehouse
         self._types = dict(types or {})
-        self._min_hot_rows = min_hot_rows
-        self._hot: dict[str, dict[str, list[int]]] = {}
+        self.min_hot_rows = min_hot_rows
+        self._hot = {} if hot is None else hot
 
     def __getitem__(self, table: str) -> DataFrame:
         return self.warehouse[table]
 
+    def over(self, warehouse: Mapping[str, DataFrame]) -> Parts:
+        """The same datasets over part of the warehouse, with the types and hot keys of the whole."""
+        return Parts(warehouse, self.types, self.min_hot_rows, self._hot)
+
     # Hot keys: one pass per link table, on first use.
 
     def _hot_of(
@@ -82,7 +87,7 @@ class Parts:
     ) -> dict[str, list[int]]:
         if label not in self._hot:
             there = {n: cols for n, cols in sets.items() if set(cols) <= set(df.columns)}
-            self._hot[label] = hot_keys(df, there, min_rows=self._min_hot_rows)
+            self._hot[label] = hot_keys(df, there, min_rows=self.min_hot_rows)
         return self._hot[label]
 
     def hot_transactions(self, blank: bool) -> dict[str, list[int]]:
