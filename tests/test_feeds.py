@@ -41,11 +41,13 @@ def test_schema_starts_with_the_business_columns(parts):
     )
 
 
-def test_lookups_do_not_change_the_premium_total(parts):
-    period_feeds = PolicyFeeds(parts)
+@pytest.mark.parametrize("name", ["gain", "majesco"])
+def test_side_datasets_do_not_change_the_premium_total(parts, name):
+    """Holds where every side dataset has one row per key; insurer names may have several."""
+    policy_feeds = PolicyFeeds(parts)
     total = lambda df, c: df.agg(F.sum(F.col(f"`{c}`"))).first()[0]
-    core = period_feeds.core(FEEDS["esl"])
-    feed = period_feeds.build("esl")
+    core = policy_feeds.core(FEEDS[name])
+    feed = policy_feeds.build(name)
     assert total(core, "prm_chgd_prem_amt") == total(feed, "Changed Premium Amount") > 0
 
 
