@@ -31,7 +31,9 @@ BY_POLICY = {
 BY_TRANSACTION = {name: "hash_prem_tran_id" for name in ("sat_prem", "sat_cmsn")}
 BY_COVERAGE = {"sat_plcy_cvrg_dtl": "hash_plcy_cvrg_id"}
 
+# The stored value has a letter in front, so that a code such as 0036 is not read back as a number.
 _SOURCE = "owner_source"
+_MARK = "s"
 
 
 def _key(column: str) -> Column:
@@ -46,7 +48,8 @@ class SourceSplit:
         self.spark, self.parts, self.path = spark, parts, path.rstrip("/")
         self.sources = tuple(sources)
         hub = parts["hub_plcy"].filter(F.col("rec_src_nm").isin(*self.sources))
-        owners = hub.select(_key("hash_plcy_id").alias("_owned"), F.col("rec_src_nm").alias(_SOURCE))
+        source = F.concat(F.lit(_MARK), "rec_src_nm").alias(_SOURCE)
+        owners = hub.select(_key("hash_plcy_id").alias("_owned"), source)
         self._store_all(BY_POLICY, owners.distinct())
         for tables, link, key in (
             (BY_TRANSACTION, "lnk_prem_tran", "hash_prem_tran_id"),
@@ -66,14 +69,11 @@ class SourceSplit:
         owned.write.partitionBy(_SOURCE).parquet(f"{self.path}/{name}")
 
     def _stored(self, name: str) -> DataFrame:
-        return self.spark.read.option("basePath", f"{self.path}/{name}").parquet(
-            f"{self.path}/{name}"
-        )
+        return self.spark.read.parquet(f"{self.path}/{name}")
 
     def _of_source(self, name: str, source: str) -> DataFrame:
         if name in BY_POLICY or name in BY_TRANSACTION or name in BY_COVERAGE:
-            own = self._stored(name).filter(F.col(_SOURCE).cast("string") == source)
-            return own.drop(_SOURCE)
+            return self._stored(name).filter(F.col(_SOURCE) == _MARK + source).drop(_SOURCE)
         return self.parts[name]
 
     def parts_of(self, source: str) -> Parts:
