@@ -12,7 +12,8 @@ from vaultfeed.plans import columns, extract
 from vaultfeed.plans.claims import BRANCHES, ClaimFeeds, claim_slice
 from vaultfeed.plans.parts import FAMILIES, Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
-from vaultfeed.sources import read_csv, scratch_path
+from vaultfeed.plans.split import SourceSplit
+from vaultfeed.sources import Warehouse, read_csv, scratch_path
 
 
 @pytest.fixture(scope="module")
@@ -109,3 +110,19 @@ def test_run_rejects_unknown_source_and_date(spark, parts):
     for source, batch in (("Nobody", "20010101"), ("Gain", "2001")):
         with pytest.raises(ValueError):
             extract.run(spark, parts, scratch_path(spark, "run"), 3, batch, source)
+
+
+def test_split_keeps_codes_and_rows(spark, parts):
+    hub = spark.createDataFrame(
+        [("a", "007"), ("b", "7"), (None, "7")], "hash_plcy_id string, rec_src_nm string"
+    )
+    link = spark.createDataFrame([("a", 1), ("b", 2), ("b", 3), (None, 4), ("x", 5)], "k string, i int")
+    tables = {name: parts[name] for name in parts.warehouse}
+    tables["hub_plcy"] = hub
+    tables["lnk_plcy_lob"] = link.select(
+        F.col("k").alias("hash_plcy_id"), F.col("i").alias("hash_plcy_lob_id")
+    )
+    small = parts.over(Warehouse.frames(tables))
+    split = SourceSplit(spark, small, scratch_path(spark, "split"), ["007", "7"])
+    own = lambda s: sorted(r[1] for r in split.parts_of(s)["lnk_plcy_lob"].collect())
+    assert (own("007"), own("7")) == ([1], [2, 3, 4])
