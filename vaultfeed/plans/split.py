@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from vaultfeed.operators.joins import hot_keys, spread_join
 from vaultfeed.operators.shape import union_by_name
@@ -69,7 +70,9 @@ class SourceSplit:
         owned.write.partitionBy(_SOURCE).parquet(f"{self.path}/{name}")
 
     def _stored(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        # The schema is given, since a table without rows of these sources leaves no file to ask.
+        schema = StructType([*self.parts[name].schema, StructField(_SOURCE, StringType())])
+        return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
     def _of_source(self, name: str, source: str) -> DataFrame:
         if name in BY_POLICY or name in BY_TRANSACTION or name in BY_COVERAGE:
