@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, decontaminate
 
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -24,8 +24,15 @@ def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
+    "op7_decontaminate": op7_decontaminate,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_decontaminate": decontaminate.SQL,
+}
