@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate
+from . import bpe, decontaminate, language, secrets
 
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -20,6 +20,14 @@ def vocabulary() -> bpe.Vocabulary:
     return bpe.Vocabulary.load(public_tokenizers.path(VOCABULARY_FILE), public_tokenizers.PATTERN)
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.judged(table(spark, sf_dir, "documents"))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -29,6 +37,8 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language": op1_language,
+    "op2_secrets": op2_secrets,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
     "op7_decontaminate": op7_decontaminate,
 }
