@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, secrets
+from . import bpe, decontaminate, language, quality, secrets
 
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -36,11 +36,17 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.rate(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
     "op7_decontaminate": op7_decontaminate,
+    "op10_quality": op10_quality,
 }
 
 ORACLES: dict[str, str] = {
