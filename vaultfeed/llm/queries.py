@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, language, quality, secrets
+from . import bpe, decontaminate, fingerprint, language, quality, quotes, secrets, tokens
 
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -32,10 +32,22 @@ def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op5_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.counts(table(spark, sf_dir, "documents"), vocabulary())
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.rate(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -45,7 +57,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
+    "op5_fingerprint": op5_fingerprint,
+    "op6_token_counts": op6_token_counts,
     "op7_decontaminate": op7_decontaminate,
+    "op8_conversations": op8_conversations,
     "op10_quality": op10_quality,
 }
 
