@@ -132,21 +132,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates two steps over the edges until nothing changes: each node's larger neighbours, then its smaller
     ones, are linked to the smallest neighbour. Every round is one written table; the driver only sees two sums.
     """
+    def state(pair: DataFrame):
+        return pair.agg(F.count("*"), F.count_distinct("hi"), F.sum(F.xxhash64("lo", "hi") % 1_000_003)).first()
+
     pair = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
     pair = written(pair, "edges")
-    spark, before = edges.sparkSession, None
-    if pair.isEmpty():
-        return spark.createDataFrame([], f"node {dict(edges.dtypes)[a]}, root {dict(edges.dtypes)[a]}")
-    while True:
+    before = state(pair)
+    while before[0]:
         both = pair.union(pair.select("hi", "lo")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi"))
-        large = large.where("lo < hi").distinct()
+        large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
-        small = large.join(down, "hi").select("m", "hi", "lo")
-        pair = small.select(F.col("m").alias("lo"), "hi").union(small.select(F.col("m").alias("lo"), F.col("lo").alias("hi")))
-        pair = written(pair.where("lo < hi").distinct(), "edges")
-        now = pair.agg(F.count("*"), F.count_distinct("hi"), F.sum(F.xxhash64("lo", "hi") % 1_000_003)).first()
+        small = large.join(down, "hi").select("m", F.explode(F.array("lo", "hi")).alias("hi"))
+        pair = written(small.select(F.col("m").alias("lo"), "hi").where("lo < hi").distinct(), "edges")
+        now = state(pair)
         if now == before and now[0] == now[1]:
             break
         before = now

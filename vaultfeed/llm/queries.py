@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, language, quality, quotes, secrets, tokens
+from . import bpe, decontaminate, fingerprint, language, neardup, quality, quotes, secrets, tokens
 
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -48,6 +48,10 @@ def op8_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.conversations(table(spark, sf_dir, "conversations"))
 
 
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.clusters(table(spark, sf_dir, "documents"), neardup.Rule(words=3, percent=85))
+
+
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.rate(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_counts": op6_token_counts,
     "op7_decontaminate": op7_decontaminate,
     "op8_conversations": op8_conversations,
+    "op9_near_duplicates": op9_near_duplicates,
     "op10_quality": op10_quality,
 }
 
