@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, language, neardup, quality, quotes, secrets, tokens
+from . import bpe, decontaminate, fingerprint, language, neardup, quality, quotes, secrets, suffixes, tokens
 
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -28,6 +28,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
 
+def op3_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary())
 
@@ -60,6 +64,7 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
+    "op3_repeated_bytes": op3_repeated_bytes,
     "op4_bpe_roundtrip": op4_bpe_roundtrip,
     "op5_fingerprint": op5_fingerprint,
     "op6_token_counts": op6_token_counts,
