@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RunHash, mix, slices
+from .common import RunHash, mapped, mix, slices
 
 MEMO_ENTRIES = 350_000
 #: White space as the rank files' library knows it (Unicode White_Space); `\s` of other libraries has a few more.
@@ -245,7 +245,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, doc_id: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids binary")
+    return mapped(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids binary")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -262,7 +262,7 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(raw, pa.binary())], names=["doc_id", "ids", "bytes"])
 
     rows = encoded.select("doc_id", "ids")
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids binary, bytes binary")
+    return mapped(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, ids binary, bytes binary")
 
 
 def digests(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:

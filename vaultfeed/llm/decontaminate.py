@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import mapped, slices, written
 
 WINDOW = 10
 #: Words of one automaton; a larger benchmark is worked through in blocks, each against all documents.
@@ -159,7 +159,7 @@ def matches(
         F.array().cast("array<string>").alias("item_ids"),
     )
     for k, automaton in enumerate(automata(items, item_id, item_text, window)):
-        rows = (written(rows, "matches") if k else rows).mapInArrow(_streamed(docs, automaton), schema)
+        rows = mapped((written(rows, "matches") if k else rows), _streamed(docs, automaton), schema)
     return rows
 
 
@@ -216,7 +216,7 @@ def clean(
     """
     out = docs
     for k, automaton in enumerate(automata(items, "item_id", "text", window)):
-        out = (written(out, "clean") if k else out).mapInArrow(_cut(docs, automaton, text, max_coverage), docs.schema)
+        out = mapped((written(out, "clean") if k else out), _cut(docs, automaton, text, max_coverage), docs.schema)
     return out
 
 

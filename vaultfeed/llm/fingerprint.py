@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import mix, slices
+from .common import mapped, mix, slices
 
 #: Characters of a k-mer, k-mers of a tuple, tuples of a fingerprint.
 K, TUPLE, TUPLES = 6, 2, 32
@@ -136,8 +136,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             kinds = [pa.int64(), pa.int64(), *[pa.string()] * 3, *[pa.float64()] * 2]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
-    rows = neighbours(docs, doc_id, text).mapInArrow(
-        run,
+    rows = mapped(neighbours(docs, doc_id, text), run,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     )
     return rows.withColumn("doc_id", F.nullif("doc_id", F.lit(-(1 << 62))))

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mix, slices
+from .common import mapped, mix, slices
 
 ORDERS = (1, 2, 3, 4)
 SLOTS = 1 << 15  # of one order's n-grams; texts with equal n-grams always agree
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
             sets = [present(t).astype(np.int32) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("lang"), pa.array(sets, pa.list_(pa.int32()))], names=["lang", "slots"])
 
-    sample = [(r.lang, np.array(r.slots, np.int64)) for r in picked.mapInArrow(run, "lang string, slots array<int>").collect()]
+    sample = [(r.lang, np.array(r.slots, np.int64)) for r in mapped(picked, run, "lang string, slots array<int>").collect()]
     return solve(sorted(((g, s) for g, s in sample if len(s)), key=lambda x: (x[0], x[1].tobytes())))
 
 
@@ -164,7 +164,7 @@ def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "
             )
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
+    return mapped(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, lang_pred string, score double")
 
 
 def judged(docs: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RunHash, components, joined_bytes, mix, slices, written
+from .common import RunHash, components, joined_bytes, mapped, mix, slices, written
 
 #: A coordinate of a signature is the minima of WIDTH hash functions together: sets of similarity s agree in one with
 #: chance s ** WIDTH. There are so many coordinates that a linked pair shares none with chance below MISS.
@@ -112,7 +112,7 @@ def described(docs: DataFrame, rule: Rule, doc_id: str, text: str) -> DataFrame:
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return rows.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_shingles long, set_id string, posts array<long>")
+    return mapped(rows, run, f"doc_id {kind}, n_bytes long, n_shingles long, set_id string, posts array<long>")
 
 
 def set_id(shingles: np.ndarray) -> str:
@@ -217,7 +217,7 @@ def links(docs: DataFrame, rule: Rule, described_docs: DataFrame, doc_id: str, t
     cells = cells.select("root", "cell.x", "cell.y", "block", "doc_id", "text")
     parts = max(1, ceil((member.agg(F.sum(F.col("n_bytes") * F.size("cells"))).first()[0] or 0) / CELL_BYTES))
     cells = cells.repartition(parts, "root", "x", "y").sortWithinPartitions("root", "x", "y")
-    return cells.mapInArrow(run, f"a {kind}, b {kind}")
+    return mapped(cells, run, f"a {kind}, b {kind}")
 
 
 def _cell(held: list[pa.RecordBatch], key: tuple, rule: Rule) -> pa.RecordBatch:

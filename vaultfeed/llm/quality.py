@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import RunHash, joined_bytes, slices
+from .common import RunHash, joined_bytes, mapped, slices
 
 SLOTS = 1 << 18
 #: A word longer than so many bytes also counts by its first so many.
@@ -129,7 +129,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             yield pa.RecordBatch.from_arrays([part.column("grade"), packed], names=["grade", "slots"])
 
     joined = rows.join(F.broadcast(chosen), "doc_id").select("text", "grade")  # at most `sample` pairs of numbers
-    found = joined.mapInArrow(run, "grade int, slots binary").collect()
+    found = mapped(joined, run, "grade int, slots binary").collect()
     return solve(sorted((r.grade, bytes(r.slots)) for r in found))
 
 
@@ -215,7 +215,7 @@ def rate(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "expected_grade", "p_top", "keep"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, expected_grade double, p_top double, keep boolean")
+    return mapped(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, expected_grade double, p_top double, keep boolean")
 
 
 def select(docs: DataFrame, model: Model) -> DataFrame:
@@ -226,4 +226,4 @@ def select(docs: DataFrame, model: Model) -> DataFrame:
         for part in slices(batches, "text"):
             yield part.filter(pa.array(_rated(part, shared.value)[1] >= KEEP))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)

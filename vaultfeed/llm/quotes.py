@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import mapped, slices, written
 
 _MARK = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 _SPACE = re.compile(r"\s+")
@@ -117,7 +117,7 @@ def conversations(messages: DataFrame) -> DataFrame:
     rows = messages.select("conv_id", "turn", "role", "text")
     kinds = dict(rows.dtypes)
     schema = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, content string, own array<long>, quoted array<long>, quote_levels int"
-    parsed = rows.mapInArrow(_parsed, schema)
+    parsed = mapped(rows, _parsed, schema)
     chain = threads(links(parsed))
     out = parsed.drop("own", "quoted").join(chain, ["conv_id", "turn"], "left")
     text = F.concat(F.lit("<|im_start|>"), F.coalesce("role", F.lit("user")), F.lit("\n"), F.coalesce("content", F.lit("")), F.lit("<|im_end|>\n"))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import mapped, slices
 
 KINDS = ("assign", "access", "hex", "literal")
 #: A literal is reported from this score on: name weight times how much the literal looks like a secret.
@@ -124,8 +124,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, kind)], names=["doc_id", "spans"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(
-        run, f"doc_id {dict(rows.dtypes)['doc_id']}, spans array<struct<kind string, start bigint, end bigint, score double>>"
+    return mapped(rows, run, f"doc_id {dict(rows.dtypes)['doc_id']}, spans array<struct<kind string, start bigint, end bigint, score double>>"
     )
 
 
@@ -155,7 +154,7 @@ def redact(docs: DataFrame, text: str = "text", mark: str = "[secret]") -> DataF
             columns[where] = pa.array(texts, part.schema.field(where).type)
             yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def _marked(text: str | None, mark: str) -> str | None:

@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RunHash, joined_bytes, runs, slices, written
+from .common import RunHash, joined_bytes, mapped, runs, slices, written
 
 #: A window is a string of LENGTH bytes; its anchor is its GRAM-byte substring of the least hash, the first of equal ones.
 LENGTH, GRAM = 100, 24
@@ -282,8 +282,8 @@ def repeats(docs: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield _settled(held)
 
-    blobs = docs.mapInArrow(cut, _BLOB).repartition(buckets, "bucket").sortWithinPartitions("bucket")
-    return blobs.mapInArrow(meet, "doc_id long, check long, first int, end int")
+    blobs = mapped(docs, cut, _BLOB).repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return mapped(blobs, meet, "doc_id long, check long, first int, end int")
 
 
 def _settled(rows: list[dict]) -> pa.RecordBatch:
@@ -348,7 +348,7 @@ def digests(docs: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return removed(docs).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return mapped(removed(docs), run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def _list_sizes(column: pa.Array) -> np.ndarray:

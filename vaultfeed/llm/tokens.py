@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import Vocabulary, worker_encoder
-from .common import joined_bytes, runs, slices
+from .common import joined_bytes, mapped, runs, slices
 
 Section = tuple[str, int, int]
 
@@ -86,8 +86,7 @@ def counts(
             yield pa.RecordBatch.from_arrays(*_counted(part, encoder, lengths, sections, kinds), names=names)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(
-        run,
+    return mapped(rows, run,
         f"doc_id {dict(rows.dtypes)['doc_id']}, section int, name string, start int, end int, n_tokens long, n_crossing long",
     )
 
