@@ -16,7 +16,8 @@ from .common import mapped, mix, slices
 
 #: Characters of a k-mer, k-mers of a tuple, tuples of a fingerprint.
 K, TUPLE, TUPLES = 6, 2, 32
-RANGE_BYTES = 16 << 20
+#: Ids are cut into ranges of so many bytes of text, into RANGES of them at most; a task gets TASK_BYTES of ranges.
+RANGE_BYTES, RANGES, TASK_BYTES = 1 << 20, 100_000, 16 << 20
 _ODD = mix(np.arange(1, TUPLES + 1, dtype=np.uint64)) | np.uint64(1)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -93,7 +94,7 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """
     rows = docs.select(F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 62))).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bounds, firsts = _ranges(rows.select("doc_id"), max(1, ceil(size / RANGE_BYTES)))
+    bounds, firsts = _ranges(rows.select("doc_id"), min(RANGES, max(1, ceil(size / RANGE_BYTES))))
     before = dict(zip(firsts[:, 1].tolist(), np.roll(firsts[:, 0], 1).tolist(), strict=True))
     opening = np.array(sorted(before), np.int64)
 
@@ -109,7 +110,8 @@ def neighbours(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     other = F.struct(earlier("doc_id").alias("part"), F.lit(True).alias("extra"))
     spread = rows.select("doc_id", "text", F.explode(F.array(own, other)).alias("to")).where("to.part >= 0")
     spread = spread.select("to.part", "to.extra", "doc_id", "text")
-    return spread.repartition(max(1, len(firsts)), "part").sortWithinPartitions("part", "extra", "doc_id", "text")
+    tasks = max(1, ceil(size / TASK_BYTES))
+    return spread.repartition(tasks, "part").sortWithinPartitions("part", "extra", "doc_id", "text")
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
