@@ -58,7 +58,7 @@ def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     edge = np.diff(np.concatenate(([False], inside, [False])).astype(np.int8))
     starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     if len(starts):  # words end at a text's end
-        inner = offsets[1:-1]
+        inner = np.unique(offsets[1:-1])
         cut = inner[(np.searchsorted(starts, inner, "left") - 1 >= 0)]
         at = np.searchsorted(starts, cut, "left") - 1
         split = cut[(starts[at] < cut) & (cut < ends[at])]

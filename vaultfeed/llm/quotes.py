@@ -35,45 +35,46 @@ def parse(text: str) -> list[tuple[int, str]]:
     return [b for b in out if b[1]]
 
 
-def passage_hashes(block: str) -> list[int]:
-    """Hashes of a block and of each of its lines, case and white space levelled."""
+def passages(block: str) -> dict[int, int]:
+    """Hash and length of a block and of each of its lines, case and white space levelled."""
     plain = {_SPACE.sub(" ", p).strip().casefold() for p in (block, *block.split("\n"))} - {""}
-    return sorted(int.from_bytes(hashlib.blake2b(p.encode(), digest_size=8).digest(), "little", signed=True) for p in plain)
+    return {int.from_bytes(hashlib.blake2b(p.encode(), digest_size=8).digest(), "little", signed=True): len(p) for p in plain}
 
 
 def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = pa.list_(pa.int64())
+    hashes, weighed = pa.list_(pa.int64()), pa.map_(pa.int64(), pa.int32())
     for part in slices(batches, "text"):
         content, own, quoted, levels = [], [], [], []
         for text in part.column("text").to_pylist():
             blocks = parse(text or "")
             mine = "\n".join(b for level, b in blocks if level == 0)
             content.append(None if text is None else mine)
-            own.append(sorted({h for level, b in blocks if level == 0 for h in passage_hashes(b)} | set(passage_hashes(mine))))
-            quoted.append(sorted({h for level, b in blocks if level == 1 for h in passage_hashes(b)}))
+            own.append(sorted({h for level, b in [*blocks, (0, mine)] if level == 0 for h in passages(b)}))
+            quoted.append(sorted({h: n for level, b in blocks if level == 1 for h, n in passages(b).items()}.items()))
             levels.append(max((level for level, _ in blocks), default=0))
         yield pa.RecordBatch.from_arrays(
-            [*(part.column(c) for c in ("conv_id", "turn", "role")), pa.array(content, pa.string()), pa.array(own, hashes), pa.array(quoted, hashes), pa.array(levels, pa.int32())],
+            [*(part.column(c) for c in ("conv_id", "turn", "role")), pa.array(content, pa.string()), pa.array(own, hashes), pa.array(quoted, weighed), pa.array(levels, pa.int32())],
             names=["conv_id", "turn", "role", "content", "own", "quoted", "quote_levels"],
         )
 
 
 def links(parsed: DataFrame) -> DataFrame:
-    """conv_id, turn, reply_to: for each quoting message the earlier message that has most of its passages.
+    """conv_id, turn, reply_to: for each quoting message the earlier message that its quoted passages point to most.
 
-    Of several the latest. Per passage and quotation only the latest earlier message that has it is a candidate: a
-    running maximum over the passage's rows in turn order, so no pairs are made. Originals are first cut to
-    passages that some message of the conversation quotes.
+    Each passage, a whole quoted block or a line of it, points to the latest earlier message that has it and weighs as
+    much as it is long; of several messages with the same weight it is the latest. The latest message is found by a
+    running maximum over a passage's rows in turn order, so no pairs are made. Originals are first cut to passages
+    that some message of the conversation quotes.
     """
     known = parsed.where("conv_id is not null and turn is not null")
-    asked = known.select("conv_id", "turn", F.explode("quoted").alias("h"))
-    asked = asked.distinct()
+    asked = known.select("conv_id", "turn", F.explode("quoted").alias("h", "n")).distinct()
     given = known.select("conv_id", "turn", F.explode("own").alias("h"))
     given = given.join(asked.select("conv_id", "h").distinct(), ["conv_id", "h"], "left_semi").distinct()
-    both = asked.withColumn("source", F.lit(None).cast("long")).unionByName(given.withColumn("source", F.col("turn").cast("long")))
+    given = given.withColumns({"n": F.lit(0), "source": F.col("turn").cast("long")})
+    both = asked.withColumn("source", F.lit(None).cast("long")).unionByName(given)
     earlier = Window.partitionBy("conv_id", "h").orderBy("turn").rangeBetween(Window.unboundedPreceding, -1)
     found = both.withColumn("reply_to", F.max("source").over(earlier)).where("source is null and reply_to is not null")
-    votes = found.groupBy("conv_id", "turn", "reply_to").agg(F.count("*").alias("n"))
+    votes = found.groupBy("conv_id", "turn", "reply_to").agg(F.sum("n").alias("n"))
     return votes.groupBy("conv_id", "turn").agg(F.max(F.struct("n", "reply_to")).reply_to.alias("reply_to"))
 
 
@@ -116,7 +117,7 @@ def conversations(messages: DataFrame) -> DataFrame:
     """
     rows = messages.select("conv_id", "turn", "role", "text")
     kinds = dict(rows.dtypes)
-    schema = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, content string, own array<long>, quoted array<long>, quote_levels int"
+    schema = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, content string, own array<long>, quoted map<long, int>, quote_levels int"
     parsed = mapped(rows, _parsed, schema)
     chain = threads(links(parsed))
     out = parsed.drop("own", "quoted").join(chain, ["conv_id", "turn"], "left")
