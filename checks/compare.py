@@ -18,14 +18,14 @@ TABLES = (
 
 
 def comparable(df: DataFrame) -> DataFrame:
-    """Decimals as doubles and days as text, so that both engines hand over plain values."""
+    """Decimals as doubles, days and timestamps as text, so that both engines hand over plain values."""
     columns = []
     for f in df.schema.fields:
         kind, column = f.dataType.simpleString(), F.col(f"`{f.name}`")
         if kind.startswith("decimal"):
             column = column.cast("double")
         elif kind in ("date", "timestamp", "timestamp_ntz"):
-            column = F.date_format(column, "yyyy-MM-dd")
+            column = column.cast("string")  # a timestamp with its time of day
         elif kind in ("tinyint", "smallint", "int"):
             column = column.cast("bigint")
         columns.append(column.alias(f.name))
@@ -43,7 +43,8 @@ def _plain(value):
     if isinstance(value, Decimal):
         return float(value)
     if isinstance(value, datetime):
-        value = value.date()
+        text = value.isoformat(" ")
+        return text.rstrip("0").rstrip(".") if value.microsecond else text
     if isinstance(value, date):
         return value.isoformat()
     return value

@@ -17,9 +17,9 @@ from checks.warehouse import warehouse, with_tables
 from vaultfeed.functions.period import accounting_range
 from vaultfeed.operators.newest import repeated_keys
 from vaultfeed.operators.quality import reconcile, run_audit
-from vaultfeed.operators.shape import with_file_names
 from vaultfeed.plans import split
 from vaultfeed.plans.claims import ClaimFeeds, claim_slice
+from vaultfeed.plans.extract import formatted
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
 from vaultfeed.sources import scratch_path
@@ -77,7 +77,7 @@ def sliced_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def formatted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return comparable(with_file_names(policy_feeds(spark, sf_dir, PERIOD).build("majesco")))
+    return comparable(formatted(policy_feeds(spark, sf_dir, PERIOD).build("majesco")))
 
 
 def reconciled_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -280,7 +280,7 @@ _SHARED = {
     "Commission Percentage": _NUMBER.format("m.cmsn_pct"),
     "Commission Amount": _NUMBER.format("m.cmsn_amt"),
     "Commission Amount (Calculated)": _NUMBER.format(
-        "CAST(p.chgd_prem_amt * CAST(m.cmsn_pct AS DECIMAL(8,2)) * 0.01 AS DECIMAL(18,2))"
+        "CAST(p.chgd_prem_amt * m.cmsn_pct * 0.01 AS DECIMAL(18,2))"
     ),
     "Transaction Expiration Date": _DATE.format("p.tran_exprn_dt"),
     "Primary Address Zip Code": "a.pstl_cd", "Primary Address City": "a.city_nm",
@@ -366,7 +366,7 @@ _OWN_COLUMNS = {
     "majesco": {
         **_COVERAGE_TEXT, "Product Code": "d.prod_cd",
         "Commission Amount (Calculated)": _NUMBER.format(
-            "CAST(p.chgd_prem_amt * CAST(q.pct AS DECIMAL(8,2)) * 0.01 AS DECIMAL(18,2))"
+            "CAST(p.chgd_prem_amt * CAST(q.pct AS DECIMAL(16,2)) * 0.01 AS DECIMAL(18,2))"
         ),
         "Coverage Code": "g.cvrg_cd", "Coverage TP Code": "g.cvrg_tp_cd",
         "Coverage Code Description": "g.cvrg_descr", "Subline Code": "g.subline_cd",
@@ -483,7 +483,7 @@ def _policy_select(name: str, period: bool, flags: bool = False, rename=str) ->
         sql += """\n  QUALIFY row_number() OVER (PARTITION BY h.hash_plcy_id, t.ref_id ORDER BY
       t.btch_dt DESC, t.hash_prem_tran_id DESC, c.btch_dt DESC NULLS LAST,
       c.hash_plcy_cvrg_id DESC NULLS LAST, m.cmsn_pct DESC NULLS LAST,
-      m.cmsn_amt DESC NULLS LAST) = 1"""
+      m.cmsn_amt DESC NULLS LAST, o.prpty_loc_nbr DESC NULLS LAST) = 1"""
     return sql
 
 
@@ -509,7 +509,9 @@ def _file_name(column: str) -> str:
 
 
 def formatted_sql() -> str:
-    return _tables_of(_policy_select("majesco", True, rename=_file_name))
+    feed = _policy_select("majesco", True, rename=_file_name)
+    return _tables_of(f"""SELECT * REPLACE (CAST(CAST("TransactionDate" AS DATE) AS STRING) AS "TransactionDate")
+FROM ({feed})""")
 
 
 def spot_check_sql() -> str:

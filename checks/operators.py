@@ -553,7 +553,7 @@ def ratio_two_stage(spark, sf):
 
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice"
 _LINE_COLUMNS = _LINE.split(", ")
-_LINE_SQL = _LINE.replace("l_shipdate", "CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate")
+_LINE_SQL = _LINE.replace("l_shipdate", "CAST(l_shipdate AS VARCHAR) AS l_shipdate")
 
 
 @check(

@@ -120,14 +120,16 @@ SELECT id AS hash_prem_tran_id, ref AS ref_id, plcy AS hash_plcy_id, lob AS hash
 FROM base_tran""",
     "sat_prem": """
 SELECT id AS hash_prem_tran_id, price AS chgd_prem_amt,
-  CAST(price * (1 - disc) AS DECIMAL(18,2)) AS wrtn_prem_amt, ship AS tran_dt,
+  CAST(price * (1 - disc) AS DECIMAL(18,2)) AS wrtn_prem_amt,
+  CAST(CAST(ship AS STRING) || ' ' || lpad(CAST(ln AS STRING), 2, '0') || ':30:15' AS TIMESTAMP) AS tran_dt,
   odate AS tran_eff_dt, CAST(odate + INTERVAL '1' YEAR AS DATE) AS tran_exprn_dt, ls AS tran_cd,
   'Flag ' || rf AS tran_descr, period AS acctg_yr_mo_txt, 'E' || rf AS plcy_evnt_tp_cd,
   nullif(ln, 7) AS endrsmt_revsn_nbr, ref AS ref_id,
   CASE WHEN tax <= 0.02 THEN NULL WHEN tax >= 0.07 THEN 'Y' ELSE 'N' END AS bndr_flg
 FROM base_tran""",
     "sat_cmsn": """
-SELECT id AS hash_prem_tran_id, CAST(disc * 100 AS DECIMAL(18,2)) AS cmsn_pct,
+SELECT id AS hash_prem_tran_id, CASE WHEN source = '220' THEN CAST(disc * 1.2345 AS DECIMAL(14,6))
+    ELSE CAST(disc * 100 AS DECIMAL(14,6)) END AS cmsn_pct,
   CAST(price * disc AS DECIMAL(18,2)) AS cmsn_amt,
   CAST(price * disc AS DECIMAL(18,2)) AS net_cmsn_amt, nullif(ln, 2) AS endrsmt_revsn_nbr,
   ref AS ref_id, ship AS src_eff_dt, period AS acctg_yr_mo_txt
@@ -215,7 +217,9 @@ SELECT lpad(CAST(n_nationkey AS STRING), 2, '0') AS hash_cntct_pnt_id,
 FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20""",
     "sat_ins_obj_prop": """
 SELECT CAST(s_suppkey AS STRING) AS hash_insd_obj_id, 'Loc ' || s_name AS prpty_loc_nbr
-FROM supplier""",
+FROM supplier
+UNION ALL
+SELECT CAST(s_suppkey AS STRING), 'Annex ' || s_name FROM supplier WHERE s_suppkey % 5 = 0""",
     "sat_plcy_lmt": """
 SELECT plcy AS hash_plcy_id, CASE rf WHEN 'A' THEN 'Aggregate' WHEN 'R' THEN 'Per Event' END
   AS lmt_tp_cd, CASE WHEN qty > 5 THEN price END AS lmt_amt, source AS rec_src_nm, ship AS btch_dt

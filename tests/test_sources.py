@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.errors import PySparkException
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -57,7 +58,9 @@ def test_json_lookup(spark):
     look = lambda key: rows(json_lookup(df, key, "code string, name string"))
     assert look("k") == [("a", "A b"), ("b", None)]
     assert look("one") == [("c", "C")]
-    assert look("bad") == look("none") == look("absent") == []
+    assert look("none") == look("absent") == []
+    with pytest.raises(PySparkException):  # a broken list must not pass for an empty one
+        look("bad")
 
 
 ROWS = [(1, 'quote " and, comma'), (2, "line\nbreak"), (3, None), (4, "")]

@@ -12,14 +12,26 @@ def money(value: Column) -> Column:
     return value.cast(MONEY)
 
 
+#: Wide enough for every percentage of two amounts, with the places that plain factors have.
+RATE = "decimal(20,7)"
+#: An amount over the smallest one is a percentage of up to 20 digits.
+PERCENT = "decimal(22,2)"
+
+
 def commission_amount(premium: Column, rate: Column, per_hundred: bool = True) -> Column:
-    """Premium times commission rate; ``per_hundred`` if the rate is a percentage."""
-    product = premium.cast(MONEY) * rate.cast("decimal(10,4)")
-    return money(product * F.lit("0.01").cast("decimal(3,2)") if per_hundred else product)
+    """Premium times commission rate, rounded once, to cents; ``per_hundred`` if the rate is a percentage.
+
+    A rate keeps seven places and up to 13 digits before them. An amount that no money column can hold is null; it
+    does not end the job.
+    """
+    product = F.try_multiply(premium.try_cast(MONEY), rate.try_cast(RATE))
+    if per_hundred:
+        product = F.try_multiply(product, F.lit("0.01").cast("decimal(3,2)"))
+    return product.try_cast(MONEY)
 
 
 def percent_of(part: Column, whole: Column) -> Column:
     """``part`` as a percentage of ``whole``, two places; 0 where either is missing or whole is 0."""
     share = F.try_divide(part.cast(MONEY), whole.cast(MONEY))
-    percent = (share * F.lit(100)).cast(MONEY)
-    return F.coalesce(percent, F.lit(0).cast(MONEY))
+    percent = F.try_multiply(share, F.lit(100)).try_cast(PERCENT)
+    return F.coalesce(percent, F.lit(0).cast(PERCENT))

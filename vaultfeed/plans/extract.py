@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from vaultfeed.functions.period import accounting_range
 from vaultfeed.operators.quality import run_audit
@@ -31,13 +32,23 @@ SOURCES = {
 }
 
 
+def formatted(df: DataFrame) -> DataFrame:
+    """An extract with file-safe names and its transaction date as a day."""
+    named = with_file_names(df)
+    day = file_name_of("Transaction Date")
+    return named.withColumn(day, F.to_date(day)) if day in named.columns else named
+
+
 def export(df: DataFrame, path: str, formats: Sequence[str] = ("csv",)) -> DataFrame:
-    """Store an extract as Parquet with file-safe names, then write the other formats from it."""
-    with_file_names(df).write.parquet(f"{path}/parquet")
+    """Store an extract as Parquet, formatted, then write the other formats from it.
+
+    What the folder held before is replaced, so a run can be repeated.
+    """
+    formatted(df).write.mode("overwrite").parquet(f"{path}/parquet")
     stored = df.sparkSession.read.parquet(f"{path}/parquet")
     writers = {"csv": write_csv, "json": write_json_lines, "envelope": write_envelopes}
     for name in formats:
-        writers[name](stored, f"{path}/{name}")
+        writers[name](stored, f"{path}/{name}", mode="overwrite")
     return stored
 
 

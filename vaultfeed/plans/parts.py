@@ -56,7 +56,8 @@ class Parts:
     """The side datasets of one warehouse.
 
     ``types`` names the types of a family of wide columns; families left out are read from the
-    data, all of them in one small job. ``min_hot_rows`` is the row count from which a key is
+    data, all of them in one small job; a family of more than ``max_types`` is an error, since each
+    type becomes a column. ``min_hot_rows`` is the row count from which a key is
     spread over several tasks. Where a dataset takes ``own``, a frame of policy ids, only their
     rows are built: a feed of one source then leaves the rows of the others alone.
     """
@@ -67,10 +68,12 @@ class Parts:
         types: Mapping[str, Sequence[str]] | None = None,
         min_hot_rows: int = 1_000_000,
         hot: dict[str, dict[str, list[int]]] | None = None,
+        max_types: int = 1_000,
     ):
         self.warehouse = warehouse
         self._types = dict(types or {})
         self.min_hot_rows = min_hot_rows
+        self.max_types = max_types
         self._hot = {} if hot is None else hot
 
     def __getitem__(self, table: str) -> DataFrame:
@@ -78,7 +81,7 @@ class Parts:
 
     def over(self, warehouse: Mapping[str, DataFrame]) -> Parts:
         """The same datasets over part of the warehouse, with the types and hot keys of the whole."""
-        return Parts(warehouse, self.types, self.min_hot_rows, self._hot)
+        return Parts(warehouse, self.types, self.min_hot_rows, self._hot, self.max_types)
 
     # Hot keys: one pass per link table, on first use.
 
@@ -131,12 +134,14 @@ class Parts:
                 type_name = F.coalesce(F.col(type_column), F.lit(NULL_TYPE))
                 rows = self._attribute_rows(table)
                 parts.append(rows.select(F.lit(family).alias("f"), type_name.alias("t")).distinct())
-            limit = 1_000 * len(missing)
-            rows = union_by_name(parts).limit(limit + 1).collect()
-            if len(rows) > limit:
-                raise ValueError(f"more than {limit} attribute types; name the ones to widen")
+            rows = union_by_name([p.limit(self.max_types + 1) for p in parts]).collect()
             for family in missing:
                 found[family] = sorted(r["t"] for r in rows if r["f"] == family)
+                if len(found[family]) > self.max_types:
+                    raise ValueError(
+                        f"{family}: more than {self.max_types} types; name the ones to widen,"
+                        " or raise max_types"
+                    )
         found[columns.EXPOSURE_BASE] = found[columns.EXPOSURE_AMOUNT]
         return found
 

@@ -464,7 +464,7 @@ class PolicyFeeds:
         frame = self._join_coverages(frame, self.coverages(feed), feed, how)
         if not feed.coverage_required:
             frame = self._describe(frame, "txn", feed, hot)
-        return spread_join(
+        frame = spread_join(
             frame,
             self.policies(feed),
             [("txn_hash_plcy_id", "hub_hash_plcy_id")],
@@ -473,6 +473,12 @@ class PolicyFeeds:
             hot.get("policy", ()),
             ["txn_hash_prem_tran_id"],
         )
+        if feed.one_per_reference:
+            # The grain is asked of the finished rows: side tables may repeat what they describe.
+            first = ["txn_btch_dt", "txn_hash_prem_tran_id", "prop_prpty_loc_nbr"]
+            order = newest_first(*first, *sorted(set(frame.columns) - set(first)))
+            frame = latest_per_key(frame, ["txn_hash_plcy_id", "txn_ref_id"], order)
+        return frame
 
     # Output.
 

@@ -16,9 +16,10 @@ def json_lookup(
     """Rows of the code list stored under ``key``, decoded on the executors.
 
     ``fields`` is a DDL field list such as ``"Code string, Name string"``. The cell may hold an
-    array of objects or a single object; text that is not JSON yields no rows.
+    array of objects or a single object. Text that is not JSON is an error when the list is read: it
+    would otherwise leave every row undecoded. A null cell holds no rows.
     """
-    decoded = F.from_json(F.trim(text_column), f"array<struct<{fields}>>")
+    decoded = F.from_json(F.trim(text_column), f"array<struct<{fields}>>", {"mode": "FAILFAST"})
     return df.filter(F.col(key_column) == key).select(F.inline(decoded))
 
 

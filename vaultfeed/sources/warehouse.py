@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 # The tables the extracts read.
 TABLES = (
-    "XFRMTN", "REF_LKUP", "SAT_UNIDNTFD_PRTY",
+    "SAT_UNIDNTFD_PRTY", "XFRMTN", "REF_LKUP",
     "LNK_PREM_TRAN", "SAT_PREM", "LNK_PLCY_CVRG", "SAT_PLCY_DTL", "SAT_CMSN",
     "SAT_PLCY_CVRG_DTL", "HUB_PLCY", "LNK_PLCY_PRTY_ROLE", "SAT_ORG", "SAT_SELL_AGCY",
     "SAT_TRTY_DTL", "LNK_PLCY_CNTCT_PNT", "SAT_PHYS_ADDR", "SAT_PLCY_LMT",
