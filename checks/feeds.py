@@ -19,7 +19,7 @@ from vaultfeed.operators.newest import repeated_keys
 from vaultfeed.operators.quality import reconcile, run_audit
 from vaultfeed.plans import split
 from vaultfeed.plans.claims import ClaimFeeds, claim_slice
-from vaultfeed.plans.extract import formatted
+from vaultfeed.plans.extract import claim_outputs, formatted
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
 from vaultfeed.sources import scratch_path
@@ -76,6 +76,12 @@ def sliced_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(claim_slice(claims, CLAIM_START, (2000, 11)))
 
 
+def claims_of_a_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last year's slice of a run, with the rows that have no year."""
+    claims = claim_feeds(spark, sf_dir).union(branch_column="Branch")
+    return comparable(claim_outputs(claims, CLAIM_START, CLAIM_END)["claims_last_year"])
+
+
 def formatted_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(formatted(policy_feeds(spark, sf_dir, PERIOD).build("majesco")))
 
@@ -638,6 +644,14 @@ def sliced_claims_sql() -> str:
   OR ("Accounting Year" = '2000' AND CAST("Accounting Month" AS INT) < 12)""")
 
 
+def claims_of_a_year_sql() -> str:
+    union = "\nUNION ALL BY NAME\n".join(
+        f"SELECT *, '{n}' AS \"Branch\" FROM ({_claim_select(n)})" for n in _CLAIM_SOURCE
+    )
+    return _tables_of(f"""SELECT * FROM ({union})
+WHERE "Accounting Year" IS NULL OR "Accounting Year" = '2000'""")
+
+
 # Side datasets: each as a query of its own.
 
 
@@ -728,6 +742,7 @@ QUERIES = {
     "claims_esl_reserve": partial(claim_feed, "esl_reserve"),
     "union_claims": combined_claims,
     "claims_slice_null_period": sliced_claims,
+    "claims_slice_last_year": claims_of_a_year,
     "formatted_extract": formatted_feed,
     "reconcile_counts": reconciled_feed,
     "feed_duplicates": repeated_transactions,
@@ -745,6 +760,7 @@ ORACLES = {
     "claims_esl_reserve": claim_sql("esl_reserve"),
     "union_claims": combined_claims_sql(),
     "claims_slice_null_period": sliced_claims_sql(),
+    "claims_slice_last_year": claims_of_a_year_sql(),
     "formatted_extract": formatted_sql(),
     "reconcile_counts": reconcile_sql(),
     "feed_duplicates": repeated_sql(),

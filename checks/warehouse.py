@@ -42,7 +42,8 @@ SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) || '-'
   CAST(l_shipdate AS DATE) AS ship, CAST(l_partkey AS STRING) AS part,
   CAST(l_suppkey AS STRING) AS supp,
   nullif(l_linestatus, 'F') AS lob,
-  CASE WHEN l_tax > 0 THEN CAST(l_linenumber AS STRING) END AS obj,
+  CASE WHEN l_tax > 0
+    THEN CASE WHEN source = '220' THEN 'X' ELSE '' END || CAST(l_linenumber AS STRING) END AS obj,
   'V' || CAST(CAST(floor(l_quantity / 10) AS INT) AS STRING) AS cvrg,
   CASE WHEN l_quantity > 25 THEN 'J' END AS job,
   CASE WHEN l_discount <= 0.02 THEN NULL WHEN l_discount <= 0.05 THEN '' ELSE 'K' END AS cntct,
@@ -219,7 +220,9 @@ FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey < 20""",
 SELECT CAST(s_suppkey AS STRING) AS hash_insd_obj_id, 'Loc ' || s_name AS prpty_loc_nbr
 FROM supplier
 UNION ALL
-SELECT CAST(s_suppkey AS STRING), 'Annex ' || s_name FROM supplier WHERE s_suppkey % 5 = 0""",
+SELECT 'X' || CAST(s_suppkey AS STRING), 'Loc ' || s_name FROM supplier
+UNION ALL
+SELECT 'X' || CAST(s_suppkey AS STRING), 'Annex ' || s_name FROM supplier WHERE s_suppkey % 5 < 3""",
     "sat_plcy_lmt": """
 SELECT plcy AS hash_plcy_id, CASE rf WHEN 'A' THEN 'Aggregate' WHEN 'R' THEN 'Per Event' END
   AS lmt_tp_cd, CASE WHEN qty > 5 THEN price END AS lmt_amt, source AS rec_src_nm, ship AS btch_dt

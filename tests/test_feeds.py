@@ -103,7 +103,31 @@ def test_run_writes_every_output_once(spark, parts):
     audit = spark.read.parquet(f"{out}/audit/policies").collect()
     assert [(r["SourceSystemCode"], r["row_count"]) for r in audit] == [("109", count)]
     claims = extract.run(spark, parts, out, 13, "20010101", "DYESL Claim")
-    assert list(claims) == ["claims"]
+    assert list(claims) == ["claims", "claims_center", "claims_last_year", "claims_without_last_month"]
+
+
+def test_a_repeated_run_replaces_its_output_and_audit(spark, parts):
+    out = scratch_path(spark, "run")
+    for _ in range(2):
+        written = extract.run(spark, parts, out, 3, "20010101", "Arrowhead", formats=("csv",))
+    count = spark.read.parquet(f"{written['policies']}/parquet").count()
+    audit = spark.read.parquet(f"{out}/audit/policies").collect()
+    assert [(r["row_count"], r["status"]) for r in audit] == [(count, "written" if count else "empty")]
+
+
+def test_empty_and_failed_runs_are_audited(spark, parts, monkeypatch):
+    out = scratch_path(spark, "run")
+    extract.run(spark, parts, out, 3, "19010101", "Arrowhead", formats=())
+    assert [r["status"] for r in spark.read.parquet(f"{out}/audit/policies").collect()] == ["empty"]
+
+    def broken(*_):
+        raise RuntimeError("no such table")
+
+    monkeypatch.setattr(extract, "export", broken)
+    with pytest.raises(RuntimeError):
+        extract.run(spark, parts, out, 3, "20010101", "Juris")
+    failed = spark.read.parquet(f"{out}/audit/claims").first()
+    assert (failed["status"], failed["message"]) == ("failed", "no such table")
 
 
 def test_run_rejects_unknown_source_and_date(spark, parts):

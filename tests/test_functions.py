@@ -140,6 +140,25 @@ def test_commission_keeps_cents(spark):
     ]
 
 
+def test_commission_rates_are_not_cut(spark):
+    data = [("1000000.00", "0.123456"), ("100.00", "1234567.1234567"), ("0.01", "1000000"), ("9999999999999999.99", "9999999999999")]
+    df = spark.createDataFrame([(Decimal(p), Decimal(r)) for p, r in data], "p decimal(18,2), r decimal(20,7)")
+    factor = commission_amount(F.col("p"), F.col("r"), per_hundred=False)
+    got = [tuple(r) for r in df.select(factor, commission_amount(F.col("p"), F.col("r"))).collect()]
+    assert got == [
+        (Decimal("123456.00"), Decimal("1234.56")),
+        (Decimal("123456712.35"), Decimal("1234567.12")),
+        (Decimal("10000.00"), Decimal("100.00")),
+        (None, None),
+    ]
+
+
+def test_percent_of_the_smallest_premium(spark):
+    df = spark.createDataFrame([(Decimal("100.00"), Decimal("0.01"))], "n decimal(18,2), d decimal(18,2)")
+    percent = percent_of(F.col("n"), F.col("d"))
+    assert df.select(percent, commission_amount(F.col("d"), percent)).first() == (Decimal("1000000.00"), Decimal("100.00"))
+
+
 def test_percent_of(spark):
     data = [("1.00", "3.00"), ("1.00", "0.00"), (None, "5.00"), ("5.00", None)]
     df = spark.createDataFrame(

@@ -55,15 +55,37 @@ def test_spreading_hot_keys_changes_nothing(spark, skewed, how, null_safe):
     right = spark.createDataFrame(
         [("hot", 1), ("hot", 2), (None, 3), ("k1", 4), ("none", 5)], "k string, v int"
     )
-    hot = joins.hot_keys(skewed, {"k": ["k"]}, share=0.1, min_rows=1)["k"]
-    assert len(hot) == 2
+    hot = joins.hot_keys(skewed, {"k": ["k"]}, rows_per_task=300)["k"]
+    assert sorted(hot.values()) == [4, 4]
     on = joins.same("k")
-    spread = joins.spread_join(skewed, right, on, how, null_safe, hot, ["i"], salts=4)
+    spread = joins.spread_join(skewed, right, on, how, null_safe, hot, ["i"])
     assert rows(spread) == rows(joins.spread_join(skewed, right, on, how, null_safe))
 
 
+def test_what_is_hot_does_not_depend_on_the_table(spark, skewed):
+    alone = joins.hot_keys(skewed.where("k = 'hot'"), {"k": ["k"]}, 300)["k"]
+    rest = spark.range(50_000).selectExpr("id as i", "'n' || id as k")
+    beside = joins.hot_keys(skewed.select("i", "k").union(rest), {"k": ["k"]}, 300)["k"]
+    assert len(alone) == 1 and alone.items() <= beside.items()
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_restricting_with_hot_keys_changes_nothing(spark, skewed, null_safe):
+    keys = spark.createDataFrame([("hot",), (None,), ("k1",), ("none",)], "q string")
+    hot = joins.hot_keys(skewed, {"k": ["k"]}, 300)["k"]
+    plain = joins.restrict_to(skewed, keys, [("k", "q")], null_safe)
+    assert rows(joins.restrict_to(skewed, keys, [("k", "q")], null_safe, hot, ["i"])) == rows(plain)
+
+
+def test_a_key_that_is_hot_by_one_of_its_columns(spark, skewed):
+    right = spark.createDataFrame([("hot", 3, "a"), ("hot", 6, "b"), ("k1", 7, "c")], "k string, i long, v string")
+    hot = joins.hot_keys(skewed, {"k": ["k"]}, 300)["k"]
+    on = joins.same("k", "i")
+    assert rows(joins.spread_join(skewed, right, on, hot=hot, hot_on=["k"])) == rows(joins.spread_join(skewed, right, on))
+
+
 def test_hot_keys_need_a_large_table(skewed):
-    assert joins.hot_keys(skewed, {"k": ["k"], "both": ["k", "i"]}) == {"k": [], "both": []}
+    assert joins.hot_keys(skewed, {"k": ["k"], "both": ["k", "i"]}) == {"k": {}, "both": {}}
 
 
 def test_lookup_join_broadcasts_only_a_counted_list(spark, skewed):
@@ -147,7 +169,7 @@ def test_previous_value_over_slices(spark, unit):
 
 
 def test_repeated_keys(skewed):
-    for hot in ((), None, joins.hot_keys(skewed, {"k": ["k"]}, 0.1, min_rows=1)["k"]):
+    for hot in ({}, None, joins.hot_keys(skewed, {"k": ["k"]}, 300)["k"]):
         got = newest.repeated_keys(skewed, ["k"], row_id=["i"], hot=hot)
         counts = {r["k"]: r["cnt"] for r in got.collect()}
         assert got.count() == sum(counts.values()) == 3000

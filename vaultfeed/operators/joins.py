@@ -21,49 +21,72 @@ def same(*names: str) -> list[tuple[str, str]]:
     return [(n, n) for n in names]
 
 
+#: Rows of one key that one task may well work on; a key with more is spread over several.
+ROWS_PER_TASK = 1_000_000
+
+#: Hash of a hot key -> over how many tasks it is spread.
+Hot = Mapping[int, int]
+
+
 def hot_keys(
     df: DataFrame,
     key_sets: Mapping[str, Sequence[str]],
-    share: float = 0.01,
-    min_rows: int = 1_000_000,
+    rows_per_task: int = ROWS_PER_TASK,
     tracked: int = 10_000,
-) -> dict[str, list[int]]:
-    """Hashes of the keys that hold at least ``share`` of the rows, for each set of key columns.
+) -> dict[str, dict[int, int]]:
+    """The keys that hold more than ``rows_per_task`` rows, for each set of key columns.
 
-    One pass over the key columns with a sketch of fixed size; at most ``1/share`` values per
-    set reach the driver. A table in which no key reaches ``min_rows`` has no hot keys.
+    What counts as hot does not depend on the size of the table, and a key is spread over as many
+    tasks as its rows ask for. One pass over the key columns with a sketch that follows ``tracked``
+    keys; its counts are off by some rows in ``tracked`` at most, and at most that many
+    hashes per set reach the driver.
     """
-    wanted = math.ceil(1 / share)
     sketches = [
-        F.call_function("approx_top_k", F.xxhash64(*cols), F.lit(wanted), F.lit(tracked)).alias(name)
+        F.filter(
+            F.call_function("approx_top_k", F.xxhash64(*cols), F.lit(tracked // 2), F.lit(tracked)),
+            lambda top: top["count"] > rows_per_task,
+        ).alias(name)
         for name, cols in key_sets.items()
     ]
-    row = df.agg(F.count(F.lit(1)).alias("_rows"), *sketches).first()
-    floor = max(min_rows, share * row["_rows"])
+    row = df.agg(*sketches).first() if sketches else {}
     return {
-        name: [top["item"] for top in row[name] or [] if top["count"] >= floor] for name in key_sets
+        name: {top["item"]: math.ceil(top["count"] / rows_per_task) for top in row[name] or []}
+        for name in key_sets
     }
 
 
+def _salted(keys: Sequence[Column], hot: Hot, row_id: Sequence[str] | None) -> Column:
+    """0 for ordinary keys; for hot ones the number of a row, or all numbers if there is no row id."""
+    key = F.xxhash64(*keys)
+    table = F.create_map(*[F.lit(x) for pair in hot.items() for x in pair])
+    salts = F.element_at(table, key)
+    if row_id:
+        number = F.pmod(F.xxhash64(*row_id), salts).cast("int")
+        return F.when(key.isin(*hot), number).otherwise(0)
+    numbers = F.sequence(F.lit(0), salts - 1)
+    return F.explode(F.when(key.isin(*hot), numbers).otherwise(F.array(F.lit(0))))
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     on: Pairs,
     how: str = "left",
     null_safe: bool = False,
-    hot: Sequence[int] = (),
+    hot: Hot | None = None,
     row_id: Sequence[str] = (),
-    salts: int = 32,
     keep_keys: bool = False,
+    hot_on: Sequence[str] = (),
 ) -> DataFrame:
     """Join on pairs of columns; the result has the columns of ``left``, then the rest of ``right``.
 
     ``keep_keys`` also keeps the key columns of ``right``, whose names must then differ; a long
     chain of joins is analysed faster so.
 
-    Rows of ``left`` with a hot key get one of ``salts`` numbers from the hash of ``row_id``
-    (default: all columns), and only the matching rows of ``right`` are repeated per number, so a
-    key with a third of all rows is worked on by ``salts`` tasks. The result is the same.
+    Rows of ``left`` with a hot key get a number from the hash of ``row_id`` (default: all columns),
+    and only the matching rows of ``right`` are repeated per number, so a key with a third of all
+    rows is worked on by many tasks. The result is the same. ``hot_on`` names the left columns
+    that ``hot`` was found for, if they are not all key columns.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"only left and inner joins can be spread, got {how!r}")
@@ -77,15 +100,11 @@ def spread_join(
         l.eqNullSafe(r) if null_safe else l == r for l, r in zip(left_keys, right_keys, strict=True)
     ]
     if hot:
-        number = F.pmod(F.xxhash64(*(row_id or left.columns)), F.lit(salts)).cast("int")
-        is_hot_left = F.xxhash64(*left_keys).isin(*hot)
-        is_hot_right = F.xxhash64(*right_keys).isin(*hot)
-        numbers = F.sequence(F.lit(0), F.lit(salts - 1))
-        left = left.withColumn("_salt", F.when(is_hot_left, number).otherwise(0))
-        right = right.withColumn(
-            "_right_salt",
-            F.explode(F.when(is_hot_right, numbers).otherwise(F.array(F.lit(0)))),
+        where = [i for i, (l, _) in enumerate(on) if not hot_on or l in hot_on]
+        left = left.withColumn(
+            "_salt", _salted([left_keys[i] for i in where], hot, row_id or left.columns)
         )
+        right = right.withColumn("_right_salt", _salted([right_keys[i] for i in where], hot, None))
         terms.append(F.col("_salt") == F.col("_right_salt"))
         helpers += ["_salt", "_right_salt"]
     joined = left.join(right, reduce(lambda a, b: a & b, terms), how)
@@ -119,7 +138,7 @@ def lookup_join(
     how: str = "left",
     broadcast_rows: int = 100_000,
     null_safe: bool = False,
-    hot: Sequence[int] = (),
+    hot: Hot | None = None,
     row_id: Sequence[str] = (),
     keep_keys: bool = False,
 ) -> DataFrame:
@@ -127,18 +146,28 @@ def lookup_join(
     small = codes.limit(broadcast_rows + 1).count() <= broadcast_rows
     if small:
         codes = F.broadcast(codes)
-        hot = ()
+        hot = None
     return spread_join(df, codes, on, how, null_safe, hot, row_id, keep_keys=keep_keys)
 
 
 def restrict_to(
-    df: DataFrame, keys: DataFrame, on: Pairs, null_safe: bool = False
+    df: DataFrame,
+    keys: DataFrame,
+    on: Pairs,
+    null_safe: bool = False,
+    hot: Hot | None = None,
+    row_id: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows of ``df`` whose key occurs in ``keys``; never multiplies rows."""
+    """Rows of ``df`` whose key occurs in ``keys``; never multiplies rows. Hot keys as in spread_join."""
     renamed = {r: f"_right_{i}" for i, (_, r) in enumerate(on)}
     right = keys.select(*[F.col(r).alias(n) for r, n in renamed.items()])
     terms: list[Column] = [
         F.col(l).eqNullSafe(F.col(renamed[r])) if null_safe else F.col(l) == F.col(renamed[r])
         for l, r in on
     ]
-    return df.join(right, reduce(lambda a, b: a & b, terms), "left_semi")
+    if hot:
+        df = df.withColumn("_salt", _salted([F.col(l) for l, _ in on], hot, row_id or df.columns))
+        right = right.withColumn("_right_salt", _salted([F.col(c) for c in renamed.values()], hot, None))
+        terms.append(F.col("_salt") == F.col("_right_salt"))
+    kept = df.join(right, reduce(lambda a, b: a & b, terms), "left_semi")
+    return kept.drop("_salt") if hot else kept

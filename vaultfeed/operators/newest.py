@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultfeed.operators.joins import hot_keys, spread_join
+from vaultfeed.operators.joins import Hot, hot_keys, spread_join
 
 
 def newest_first(*columns: str) -> list[Column]:
@@ -94,7 +94,7 @@ def repeated_keys(
     keys: Sequence[str],
     count_name: str = "cnt",
     row_id: Sequence[str] = (),
-    hot: Sequence[int] | None = None,
+    hot: Hot | None = None,
 ) -> DataFrame:
     """All rows whose key occurs more than once, with the count.
 

@@ -152,7 +152,7 @@ class ClaimFeeds:
                 frame,
                 exposures,
                 [("trn_hash_expsr_id", "exp_hash_expsr_id")],
-                hot=hot.get("exposure", ()),
+                hot=hot.get("exposure"),
                 row_id=["trn_hash_clm_fincl_tran_id"],
             )
         return frame
@@ -165,7 +165,7 @@ class ClaimFeeds:
             self.claims(branch),
             [("trn_hash_clm_id", "clm_hash_clm_id")],
             "inner",
-            hot=self.parts.hot_claims().get("claim", ()),
+            hot=self.parts.hot_claims().get("claim"),
             row_id=["trn_hash_clm_fincl_tran_id"],
         )
         output: dict[str, Column] = {

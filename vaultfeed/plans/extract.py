@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 from vaultfeed.functions.period import accounting_range
 from vaultfeed.operators.quality import run_audit
 from vaultfeed.operators.shape import file_name_of, with_file_names
-from vaultfeed.plans.claims import BRANCHES, ClaimFeeds
+from vaultfeed.plans.claims import BRANCHES, ClaimFeeds, Month, claim_slice
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
 from vaultfeed.plans.split import combined_policies
-from vaultfeed.sources.sinks import append_audit, write_csv, write_envelopes, write_json_lines
+from vaultfeed.sources.sinks import scratch_path, write_csv, write_envelopes, write_json_lines
 
 # What a run can be asked for.
 SOURCES = {
@@ -52,6 +52,44 @@ def export(df: DataFrame, path: str, formats: Sequence[str] = ("csv",)) -> DataF
     return stored
 
 
+def _audited(
+    spark: SparkSession, out: str, kind: str, folder: str, batch_date: str, build: Callable[[], DataFrame]
+) -> None:
+    """Build an extract's audit and store it under the run's own name, so that a repeated run replaces it.
+
+    A run that fails leaves one row with the status ``failed`` and its message, then raises.
+    """
+    path = f"{out.rstrip('/')}/audit/{kind}/run={folder.rsplit('/', 1)[-1]}"
+    try:
+        audit = build().withColumns({"status": F.lit("written"), "message": F.lit(None).cast("string")})
+    except Exception as error:
+        failed = [("failed", str(error)[:2000], batch_date)]
+        row = spark.createDataFrame(failed, "status string, message string, batch_date string")
+        row.write.mode("overwrite").parquet(path)
+        raise
+    empty = F.col("row_count") == 0
+    audit = audit.withColumn("status", F.when(empty, "empty").otherwise(F.col("status")))
+    audit.write.mode("overwrite").parquet(path)
+
+
+def _with_missing(audit: DataFrame, column: str, expected: Sequence[str]) -> DataFrame:
+    """The audit with a row of no rows for every expected feed that has none."""
+    every = audit.sparkSession.createDataFrame([(e,) for e in expected], f"`{column}` string")
+    joined = every.join(audit, column, "full")
+    return joined.withColumn("row_count", F.coalesce("row_count", F.lit(0).cast("long")))
+
+
+def claim_outputs(claims: DataFrame, start: Month, end: Month) -> dict[str, DataFrame]:
+    """A run's claims as they are handed on: all, Claim Center alone, the last year, all but the last month."""
+    before = (end[0], end[1] - 1) if end[1] > 1 else (end[0] - 1, 12)
+    return {
+        "claims": claims,
+        "claims_center": claims.filter(F.col("Branch") == "center"),
+        "claims_last_year": claim_slice(claims, (end[0], 1), (end[0], 12)),
+        "claims_without_last_month": claim_slice(claims, start, before),
+    }
+
+
 def run(
     spark: SparkSession,
     parts: Parts,
@@ -63,8 +101,9 @@ def run(
 ) -> dict[str, str]:
     """Write the extracts of a source for the months before a batch date (default: today).
 
-    Returns the folder of each extract. Rows, premium total and newest date per source are
-    appended to ``<out>/audit``.
+    Returns the folder of each extract; claims also come in slices. Rows, premium total, newest date
+    and status per feed go to ``<out>/audit``, with a row for a feed without rows and for a failed
+    run. A run of the same source, date and months replaces what it wrote before.
     """
     if source not in SOURCES:
         raise ValueError(f"source must be one of {sorted(SOURCES)}, got {source!r}")
@@ -72,23 +111,34 @@ def run(
     period = accounting_range(batch_date, months)
     policies, claims = SOURCES[source]
     folder = f"{out.rstrip('/')}/{file_name_of(source)}_{batch_date}_{months}"
-    written = {}
-    if policies:
+    written: dict[str, str] = {}
+
+    def policy_audit() -> DataFrame:
         if len(policies) > 1:
-            feed = combined_policies(spark, parts, f"{folder}/by_source", period, policies)
+            feed = combined_policies(spark, parts, scratch_path(spark, "by-source"), period, policies)
         else:
             feed = PolicyFeeds(parts, period).build(policies[0])
         written["policies"] = f"{folder}/policies"
         stored = export(feed, written["policies"], formats)
-        by = [file_name_of("Source System Code")]
+        by = file_name_of("Source System Code")
         named = file_name_of("Changed Premium Amount"), file_name_of("Transaction Date")
-        append_audit(run_audit(stored, by, *named, batch_date), f"{out.rstrip('/')}/audit/policies")
-    if claims:
+        audit = run_audit(stored, [by], *named, batch_date)
+        return _with_missing(audit, by, [FEEDS[p].source for p in policies])
+
+    def claim_audit() -> DataFrame:
         start, end = ((d.year, d.month) for d in period)
         feed = ClaimFeeds(parts, start, end).union(claims, branch_column="Branch")
-        written["claims"] = f"{folder}/claims"
-        stored = export(feed, written["claims"], formats)
+        whole = f"{folder}/claims"
+        feed.write.mode("overwrite").parquet(f"{whole}/rows")
+        for name, part in claim_outputs(spark.read.parquet(f"{whole}/rows"), start, end).items():
+            written[name] = f"{folder}/{name}"
+            export(part, written[name], formats)
+        stored = spark.read.parquet(f"{whole}/parquet")
         named = file_name_of("Transaction Amount"), file_name_of("Transaction Date")
-        audit = run_audit(stored, ["Branch"], *named, batch_date)
-        append_audit(audit, f"{out.rstrip('/')}/audit/claims")
+        return _with_missing(run_audit(stored, ["Branch"], *named, batch_date), "Branch", claims)
+
+    if policies:
+        _audited(spark, out, "policies", folder, batch_date, policy_audit)
+    if claims:
+        _audited(spark, out, "claims", folder, batch_date, claim_audit)
     return written

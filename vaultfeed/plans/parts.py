@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from vaultfeed.functions import codes
 from vaultfeed.functions.measures import percent_of
 from vaultfeed.operators.joins import (
+    ROWS_PER_TASK,
+    Hot,
     blank_filled,
     hot_keys,
     restrict_to,
@@ -57,7 +59,7 @@ class Parts:
 
     ``types`` names the types of a family of wide columns; families left out are read from the
     data, all of them in one small job; a family of more than ``max_types`` is an error, since each
-    type becomes a column. ``min_hot_rows`` is the row count from which a key is
+    type becomes a column. ``min_hot_rows`` is the row count above which a key is
     spread over several tasks. Where a dataset takes ``own``, a frame of policy ids, only their
     rows are built: a feed of one source then leaves the rows of the others alone.
     """
@@ -66,8 +68,8 @@ class Parts:
         self,
         warehouse: Mapping[str, DataFrame],
         types: Mapping[str, Sequence[str]] | None = None,
-        min_hot_rows: int = 1_000_000,
-        hot: dict[str, dict[str, list[int]]] | None = None,
+        min_hot_rows: int = ROWS_PER_TASK,
+        hot: dict[str, dict[str, Hot]] | None = None,
         max_types: int = 1_000,
     ):
         self.warehouse = warehouse
@@ -87,13 +89,13 @@ class Parts:
 
     def _hot_of(
         self, label: str, df: DataFrame, sets: Mapping[str, Sequence[str]]
-    ) -> dict[str, list[int]]:
+    ) -> dict[str, Hot]:
         if label not in self._hot:
             there = {n: cols for n, cols in sets.items() if set(cols) <= set(df.columns)}
-            self._hot[label] = hot_keys(df, there, min_rows=self.min_hot_rows)
+            self._hot[label] = hot_keys(df, there, self.min_hot_rows)
         return self._hot[label]
 
-    def hot_transactions(self, blank: bool) -> dict[str, list[int]]:
+    def hot_transactions(self, blank: bool) -> dict[str, Hot]:
         link = self["lnk_prem_tran"]
         return self._hot_of(
             f"transactions blank={blank}",
@@ -113,11 +115,11 @@ class Parts:
             },
         )
 
-    def hot_roles(self) -> list[int]:
+    def hot_roles(self) -> Hot:
         sets = {"party": ["hash_prty_id"]}
         return self._hot_of("roles", self["lnk_plcy_prty_role"], sets)["party"]
 
-    def hot_claims(self) -> dict[str, list[int]]:
+    def hot_claims(self) -> dict[str, Hot]:
         sets = {"claim": ["hash_clm_id"], "exposure": ["hash_expsr_id"]}
         return self._hot_of("claims", self["lnk_clm_tran"], sets)
 

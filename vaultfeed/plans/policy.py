@@ -20,7 +20,7 @@ from vaultfeed.functions import codes
 from vaultfeed.functions.measures import commission_amount
 from vaultfeed.functions.period import text_in_range
 from vaultfeed.operators import joins
-from vaultfeed.operators.joins import blank_filled, restrict_to
+from vaultfeed.operators.joins import Hot, blank_filled, restrict_to
 from vaultfeed.operators.newest import latest_per_key, newest_first
 from vaultfeed.operators.shape import project, union_by_name
 from vaultfeed.operators.widen import columns_with_prefix
@@ -337,7 +337,7 @@ class PolicyFeeds:
         return frame
 
     def _describe(
-        self, frame: DataFrame, prefix: str, feed: Feed, hot: Mapping[str, Sequence[int]]
+        self, frame: DataFrame, prefix: str, feed: Feed, hot: Mapping[str, Hot]
     ) -> DataFrame:
         """Attach what hangs on the coverage, property, line, state or reference of a row.
 
@@ -350,7 +350,7 @@ class PolicyFeeds:
             pairs = [(f"{prefix}_{n}", f"{tag}_{n}") for n in names]
             row_id = [f"{prefix}_hash_prem_tran_id"] if prefix == "txn" else []
             return spread_join(
-                frame, tagged(part, tag), pairs, "left", null_safe, hot.get(hot_name, ()), row_id
+                frame, tagged(part, tag), pairs, "left", null_safe, hot.get(hot_name), row_id
             )
 
         if feed.commission != "coverage":
@@ -372,7 +372,7 @@ class PolicyFeeds:
         if feed.state_names:
             states = tagged(parts.states_with_name(), "st")
             frame = lookup_join(
-                frame, states, [(f"{prefix}_st_prvnc_cd", "st_CDKEY3")], hot=hot.get("state", ())
+                frame, states, [(f"{prefix}_st_prvnc_cd", "st_CDKEY3")], hot=hot.get("state")
             )
         return frame
 
@@ -389,12 +389,14 @@ class PolicyFeeds:
         own = tagged(self._own_policies(feed), "own")
         is_own = [("txn_hash_plcy_id", "own_hash_plcy_id")]
         by_id = on("txn", "prm", "hash_prem_tran_id")
+        hot = parts.hot_transactions(blank=not feed.null_safe).get("policy")
+        by_row = ["txn_hash_prem_tran_id"]
         if self.period:
             premium = premium.filter(text_in_range(F.col("prm_acctg_yr_mo_txt"), *self.period))
             frame = spread_join(link, premium, by_id, "inner")
-            frame = restrict_to(frame, own, is_own, feed.null_safe)
+            frame = restrict_to(frame, own, is_own, feed.null_safe, hot, by_row)
         else:
-            link = restrict_to(link, own, is_own, feed.null_safe)
+            link = restrict_to(link, own, is_own, feed.null_safe, hot, by_row)
             frame = spread_join(link, premium, by_id)
         if feed.skip_binders:
             frame = frame.filter(F.coalesce("prm_bndr_flg", F.lit("N")) == "N")
@@ -405,6 +407,12 @@ class PolicyFeeds:
 
     def _with_commission(self, frame: DataFrame, feed: Feed) -> DataFrame:
         parts = self.parts
+        by_policy = partial(
+            spread_join,
+            hot=parts.hot_transactions(blank=not feed.null_safe).get("policy"),
+            row_id=["txn_hash_prem_tran_id"],
+            hot_on=["txn_hash_plcy_id"],
+        )
         if feed.commission == "transaction":
             rows = parts["sat_cmsn"].select("hash_prem_tran_id", "cmsn_pct", "cmsn_amt")
             return spread_join(frame, tagged(rows, "cms"), on("txn", "cms", "hash_prem_tran_id"))
@@ -414,12 +422,12 @@ class PolicyFeeds:
                 ("txn_hash_plcy_id", "cms_hash_plcy_id"),
                 ("prm_endrsmt_revsn_nbr", "cms_endrsmt_revsn_nbr"),
             ]
-            return spread_join(frame, rows, pairs, null_safe=True)
+            return by_policy(frame, rows, pairs, null_safe=True)
         if feed.commission == "coverage":
             rows = parts.coverage_commission(feed.source)
             keys = ["hash_plcy_id", "hash_lob_id", "hash_cvrg_id", "ref_id"]
             rows = latest_per_key(rows, keys, newest_first("cmsn_pct", "cmsn_amt"))
-            return spread_join(frame, tagged(rows, "cms"), on("txn", "cms", *keys))
+            return by_policy(frame, tagged(rows, "cms"), on("txn", "cms", *keys))
         frame = frame.withColumn("prm_rf", codes.reference_root(F.col("prm_ref_id")))
         net = parts.net_commission(feed.source).withColumnRenamed("net_cmsn_amt", "cmsn_amt")
         percent = parts.commission_percent(feed.source)
@@ -428,8 +436,8 @@ class PolicyFeeds:
             names = ("rf", "endrsmt_revsn_nbr", "acctg_yr_mo_txt")
             return [("txn_hash_plcy_id", f"{tag}_hash_plcy_id"), *on("prm", tag, *names)]
 
-        frame = spread_join(frame, tagged(net, "cms"), pairs("cms"))
-        return spread_join(frame, tagged(percent, "pct"), pairs("pct"))
+        frame = by_policy(frame, tagged(net, "cms"), pairs("cms"))
+        return by_policy(frame, tagged(percent, "pct"), pairs("pct"))
 
     def core(self, feed: Feed) -> DataFrame:
         """Transactions, premium and coverage of the source: the rows a feed must account for."""
@@ -452,7 +460,7 @@ class PolicyFeeds:
             on("txn", "lnk", *feed.coverage_keys),
             how,
             feed.null_safe,
-            hot.get(f"link{len(feed.coverage_keys)}", ()),
+            hot.get(f"link{len(feed.coverage_keys)}"),
             ["txn_hash_prem_tran_id"],
         )
 
@@ -470,7 +478,7 @@ class PolicyFeeds:
             [("txn_hash_plcy_id", "hub_hash_plcy_id")],
             "inner",
             feed.null_safe,
-            hot.get("policy", ()),
+            hot.get("policy"),
             ["txn_hash_prem_tran_id"],
         )
         if feed.one_per_reference:

@@ -65,7 +65,7 @@ class SourceSplit:
 
     def _store(self, name: str, key: str, owners: DataFrame) -> None:
         table = self.parts[name].withColumn("_key", _key(key))
-        hot = hot_keys(table, {"key": ["_key"]}, min_rows=self.parts.min_hot_rows)["key"]
+        hot = hot_keys(table, {"key": ["_key"]}, self.parts.min_hot_rows)["key"]
         owned = spread_join(table, owners, [("_key", "_owned")], "inner", hot=hot).drop("_key")
         owned.write.partitionBy(_SOURCE).parquet(f"{self.path}/{name}")
 
