@@ -16,12 +16,12 @@ from pyspark.sql import functions as F
 from .common import RunHash, joined_bytes, mapped, runs, slices, written
 
 #: A window is a string of LENGTH bytes; its anchor is its GRAM-byte substring of the least hash, the first of equal ones.
-LENGTH, GRAM = 100, 24
+LENGTH, GRAM = 100, 16
 SPAN = LENGTH - GRAM + 1
 #: Bytes that multikey quicksort orders before blind tries take over.
 SHALLOW = 48
-#: Bytes of text that one map step looks at, and of segments that one bucket holds on average.
-CHUNK_BYTES, BUCKET_BYTES = 4 << 20, 24 << 20
+#: Bytes of text hashed at a time, of segments gathered before they are sent, and of segments per bucket on average.
+CHUNK_BYTES, PACK_BYTES, BUCKET_BYTES = 2 << 20, 40 << 20, 24 << 20
 _BLOCK = 1 << 19
 
 
@@ -69,29 +69,48 @@ class Segments:
         """doc, check, first byte and end of each run."""
         return np.stack([self.doc, self.check, self.start, self.start + self.size], axis=1)
 
-    def in_order(self) -> Segments:
-        """Sorted by document and place; rows that were given twice are one."""
-        out = self.take(np.lexsort((self.start, self.check, self.doc)))
-        fresh = np.ones(len(out), bool)
-        same = (out.doc[1:] == out.doc[:-1]) & (out.check[1:] == out.check[:-1]) & (out.start[1:] == out.start[:-1])
-        fresh[1:] = ~same
-        return out.take(np.flatnonzero(fresh))
-
-    def repeated(self, hashed: RunHash) -> np.ndarray:
-        """Which segments have the same bytes as an earlier one (of segments in order)."""
-        key = hashed.of(self.at, self.at + self.size)
+    def order(self) -> np.ndarray:
+        """The order by document and place; of rows that were given twice one is named."""
+        by = np.lexsort((self.start, self.check, self.doc))
+        fresh = np.ones(len(by), bool)
+        for f in (self.doc[by], self.check[by], self.start[by]):
+            fresh[1:] &= f[1:] == f[:-1]
+        fresh[1:] = ~fresh[1:]
+        return by[fresh]
+
+    def keys(self, hashed: RunHash) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the segments' bytes, and of their anchors."""
+        anchor = self.at + self.anchor
+        return hashed.of(self.at, self.at + self.size), hashed.of(anchor, anchor + GRAM)
+
+    def repeated(self, key: np.ndarray) -> np.ndarray:
+        """Which segments have the same bytes, not only the same key, as an earlier one (of segments in order)."""
         _, first, inverse = np.unique(key, return_index=True, return_inverse=True)
         later = np.flatnonzero(first[inverse] != np.arange(len(key)))
         model = first[inverse[later]]
         same = self.size[later] == self.size[model]
         later, model = later[same], model[same]
-        size = self.size[later]
-        alike = self.data[runs(self.at[later], size)] == self.data[runs(self.at[model], size)]
         out = np.zeros(len(key), bool)
-        if len(later):
-            out[later] = np.logical_and.reduceat(alike, np.cumsum(size) - size)
+        for start in range(0, len(later), 8192):  # bounded memory
+            one, two = later[start : start + 8192], model[start : start + 8192]
+            size = self.size[one]
+            alike = self.data[runs(self.at[one], size)] == self.data[runs(self.at[two], size)]
+            out[one] = np.logical_and.reduceat(alike, np.cumsum(size) - size)
         return out
 
+    def packed(self) -> Segments:
+        """The same segments over their own bytes alone."""
+        size = self.size
+        raw = np.concatenate([np.zeros(0, np.uint8), *(self.data[runs(self.at[k : k + 4096], size[k : k + 4096])] for k in range(0, len(size), 4096))])
+        return Segments(self.doc, self.check, self.start, self.windows, self.anchor, np.cumsum(size) - size, raw)
+
+
+def joint(parts: list[Segments]) -> Segments:
+    """Packed segments, one after the other."""
+    fields = [np.concatenate([getattr(p, f) for p in parts]) for f in ("doc", "check", "start", "windows", "anchor")]
+    size = fields[3] + LENGTH - 1
+    return Segments(*fields, np.cumsum(size) - size, np.concatenate([p.data for p in parts]))
+
 
 def segments(doc: np.ndarray, check: np.ndarray, data: np.ndarray, offsets: np.ndarray, hashed: RunHash) -> Segments:
     anchor = anchors(hashed, len(data))
@@ -207,32 +226,46 @@ def repeated_windows(s: Segments) -> np.ndarray:
 
 
 _BLOB = "bucket int, docs binary, checks binary, starts binary, windows binary, anchors binary, bytes binary"
-
-
-def _packed(s: Segments, buckets: int, done: np.ndarray, hashed: RunHash) -> Iterator[tuple]:
-    """One row per bucket with its segments; `done`, spans that are already known to be repeats, rides with bucket 0."""
-    press = zstandard.ZstdCompressor(level=1)
-    bucket = (hashed.of(s.at + s.anchor, s.at + s.anchor + GRAM) % np.uint64(buckets)).astype(np.int64)
-    by = np.argsort(bucket, kind="stable")
-    cuts = np.searchsorted(bucket[by], np.arange(buckets + 1))
+_FIELDS = (("doc", "<i8"), ("check", "<u4"), ("start", "<i4"), ("windows", "u1"), ("anchor", "u1"))
+
+
+def _sent(parts: list[tuple[Segments, np.ndarray, np.ndarray]], done: list[np.ndarray], buckets: int) -> pa.RecordBatch:
+    """One row per bucket with the segments that are new among these; spans known to be repeats ride in a row beside."""
+    s, key, anchor = joint([p[0] for p in parts]), *(np.concatenate([p[k] for p in parts]) for k in (1, 2))
+    by = s.order()
+    again = s.take(by).repeated(key[by])
+    known = joined(np.concatenate([*done, s.take(by[again]).spans()]))
+    by = by[~again]
+    bucket = (anchor[by] % np.uint64(buckets)).astype(np.int64)
+    by = by[np.argsort(bucket, kind="stable")]
+    cuts = np.searchsorted(np.sort(bucket), np.arange(buckets + 1))
+    press, rows = zstandard.ZstdCompressor(level=6), []
     for b in np.flatnonzero(np.diff(cuts)).tolist():
         p = s.take(by[cuts[b] : cuts[b + 1]])
         raw = p.data[runs(p.at, p.size)].tobytes()
-        yield b, *(x.astype(t).tobytes() for x, t in ((p.doc, "<i8"), (p.check, "<u4"), (p.start, "<i4"), (p.windows, "u1"), (p.anchor, "u1"))), press.compress(raw)
-    if len(done):
-        spread = int(done[0, 0]) % buckets
-        yield spread, *(done[:, k].astype(t).tobytes() for k, t in ((0, "<i8"), (1, "<u4"), (2, "<i4"), (3, "<i4"))), None, None
-
-
-def _unpacked(rows: list[dict]) -> tuple[Segments, np.ndarray]:
-    known = [r for r in rows if r["bytes"] is None]
-    done = [np.stack([np.frombuffer(r[c], t).astype(np.int64) for c, t in (("docs", "<i8"), ("checks", "<u4"), ("starts", "<i4"), ("windows", "<i4"))], axis=1) for r in known]
-    rows = [r for r in rows if r["bytes"] is not None]
-    press = zstandard.ZstdDecompressor()
-    data = np.frombuffer(b"".join(press.decompress(r["bytes"]) for r in rows), np.uint8)
-    fields = [np.frombuffer(b"".join(r[c] for r in rows), t).astype(np.int64) for c, t in (("docs", "<i8"), ("checks", "<u4"), ("starts", "<i4"), ("windows", "u1"), ("anchors", "u1"))]
+        rows.append((b, *(getattr(p, f).astype(t).tobytes() for f, t in _FIELDS), press.compress(raw)))
+    if len(known):
+        wide = (known[:, k].astype(t).tobytes() for k, t in enumerate(("<i8", "<u4", "<i4", "<i4")))
+        rows.append((int(known[0, 0]) % buckets, *wide, None, None))
+    kinds = [pa.int32(), *[pa.binary()] * 6]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
+    names = [c.split()[0] for c in _BLOB.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+
+def _received(row: dict) -> tuple[Segments, np.ndarray, np.ndarray]:
+    """One row's segments, with the keys of their bytes and anchors."""
+    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["bytes"]), np.uint8)
+    names = ("docs", "checks", "starts", "windows", "anchors")
+    fields = [np.frombuffer(row[c], t).astype(np.int64) for c, (_, t) in zip(names, _FIELDS, strict=True)]
     size = fields[3] + LENGTH - 1
-    return Segments(*fields, np.cumsum(size) - size, data), np.concatenate([np.zeros((0, 4), np.int64), *done])
+    s = Segments(*fields, np.cumsum(size) - size, data)
+    return s, *s.keys(RunHash(data))
+
+
+def _known(row: dict) -> np.ndarray:
+    kinds = zip(("docs", "checks", "starts", "windows"), ("<i8", "<u4", "<i4", "<i4"), strict=True)
+    return np.stack([np.frombuffer(row[c], t).astype(np.int64) for c, t in kinds], axis=1)
 
 
 def joined(spans: np.ndarray) -> np.ndarray:
@@ -253,22 +286,28 @@ def joined(spans: np.ndarray) -> np.ndarray:
 def repeats(docs: DataFrame, buckets: int) -> DataFrame:
     """doc_id, check, first, end: byte spans of windows that also start earlier.
 
-    Map: each chunk of texts is cut into segments; those that repeat within the chunk are settled at once, so that a
-    passage of many documents is sent once per chunk. Reduce: the segments of a bucket of anchors meet.
+    Map: texts are cut into segments; those that repeat among the texts of one pack are settled at once, so that a
+    passage of many documents is sent once per pack. Reduce: the segments of a bucket of anchors meet.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [c.split()[0] for c in _BLOB.split(", ")]
-        kinds = [pa.int32(), *[pa.binary()] * 6]
+        parts, done, held = [], [], 0
         for part in slices(batches, "text", CHUNK_BYTES):
             data, offsets = joined_bytes(part.column("text"))
             hashed = RunHash(data)
             doc, check = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "check"))
-            s = segments(doc, check, data, offsets, hashed).in_order()
-            again = s.repeated(hashed)
-            rows = list(_packed(s.take(np.flatnonzero(~again)), buckets, joined(s.take(np.flatnonzero(again)).spans()), hashed))
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+            s = segments(doc, check, data, offsets, hashed)
+            s = s.take(s.order())
+            key, anchor = s.keys(hashed)
+            again = s.repeated(key)
+            done.append(joined(s.take(np.flatnonzero(again)).spans()))
+            parts.append((s.take(np.flatnonzero(~again)).packed(), key[~again], anchor[~again]))
+            held += len(parts[-1][0].data)
+            if held >= PACK_BYTES:
+                yield _sent(parts, done, buckets)
+                parts, done, held = [], [], 0
+        if parts:
+            yield _sent(parts, done, buckets)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[dict] = []
@@ -287,16 +326,19 @@ def repeats(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _settled(rows: list[dict]) -> pa.RecordBatch:
-    s, done = _unpacked(rows)
-    s = s.in_order()
-    hashed = RunHash(s.data)
-    again = s.repeated(hashed)
-    found = [done, s.take(np.flatnonzero(again)).spans()]
-    s = s.take(np.flatnonzero(~again))
-    _, inverse, count = np.unique(hashed.of(s.at + s.anchor, s.at + s.anchor + GRAM), return_inverse=True, return_counts=True)
-    s = s.take(np.flatnonzero(count[inverse] > 1))
-    if len(s):
-        found.append(repeated_windows(s))
+    found = [np.zeros((0, 4), np.int64), *(_known(r) for r in rows if r["bytes"] is None)]
+    parts = [_received(r) for r in rows if r["bytes"] is not None]
+    if parts:
+        s, key, anchor = joint([p[0] for p in parts]), *(np.concatenate([p[k] for p in parts]) for k in (1, 2))
+        del parts
+        by = s.order()
+        again = s.take(by).repeated(key[by])
+        found.append(s.take(by[again]).spans())
+        by = by[~again]
+        _, inverse, count = np.unique(anchor[by], return_inverse=True, return_counts=True)
+        by = by[count[inverse] > 1]
+        if len(by):
+            found.append(repeated_windows(s.take(by)))
     spans = joined(np.concatenate(found))
     return pa.RecordBatch.from_arrays(
         [pa.array(spans[:, k], t) for k, t in ((0, pa.int64()), (1, pa.int64()), (2, pa.int32()), (3, pa.int32()))],
