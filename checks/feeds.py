@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 from checks.compare import comparable
 from checks.warehouse import warehouse, with_tables
+from vaultfeed.functions import codes
 from vaultfeed.functions.period import accounting_range
 from vaultfeed.operators.newest import repeated_keys
 from vaultfeed.operators.quality import reconcile, run_audit
+from vaultfeed.operators.shape import union_by_name
 from vaultfeed.plans import split
 from vaultfeed.plans.claims import ClaimFeeds, claim_slice
 from vaultfeed.plans.extract import claim_outputs, formatted
@@ -98,6 +100,32 @@ def reconciled_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(reconcile(stages))
 
 
+def reconciled(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and premium of one finished feed, of its core joins and of its transactions, and what is repeated.
+
+    Core rows above base rows come from repeated coverages, feed rows above core rows from repeated
+    side datasets; repeated transactions are those with more than one row in the finished feed.
+    """
+    feeds, feed, premium = policy_feeds(spark, sf_dir, PERIOD), FEEDS[name], "prm_chgd_prem_amt"
+    finished = feeds.assemble(feed)
+    again = finished.groupBy("txn_hash_prem_tran_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(premium).alias(premium)
+    )
+    stages = {
+        "feed": finished,
+        "core": feeds.core(feed),
+        "base": feeds.transactions(feed),
+        "repeated": again.filter("n > 1"),
+    }
+    rows = [
+        df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(premium).alias("premium")).select(
+            F.lit(stage).alias("stage"), "row_count", F.col("premium").cast("double").alias("premium")
+        )
+        for stage, df in stages.items()
+    ]
+    return comparable(union_by_name(rows))
+
+
 def repeated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transactions that the core joins multiply."""
     core = policy_feeds(spark, sf_dir).core(FEEDS["arrowhead"])
@@ -315,15 +343,14 @@ def _in(values) -> str:
 _SYMBOLS = ["CU", "CCU", "UCU", "VCU", "WCU", "XCU", "YCU", "ZCU"]
 _RULES = [("GL", "GL", "560"), ("CPP", "GL", "560"), ("BOP", "BC", "385"), ("BOP", "BC", "662"),
           ("ML", "BC", "362")]
-# The lists are cut to the codes that the derived coverages can hold.
 _FLAGS = {
     "Policy Symbol Status": f"""CASE WHEN d.plcy_sym_cd IS NULL THEN ''
       WHEN d.plcy_sym_cd IN ({_in(_SYMBOLS)}) THEN 'InList' ELSE 'NotInList' END""",
     "Major Peril Status": """CASE WHEN g.cvrg_cd IS NULL THEN ''
-      WHEN trim(g.cvrg_cd) IN ('088', '560', '172') THEN 'InList' ELSE 'NotInList' END""",
+      WHEN trim(g.cvrg_cd) IN (_PERILS) THEN 'InList' ELSE 'NotInList' END""".replace("_PERILS", _in(codes.MAJOR_PERILS)),
     "Subline Code Status": """CASE WHEN g.subline_cd IS NULL THEN ''
       WHEN substring(lpad(g.subline_cd, CAST(greatest(3, length(g.subline_cd)) AS INT), '0'), 1, 3)
-        IN ('010', '334') THEN 'InList' ELSE 'NotInList' END""",
+        IN (_SUBLINES) THEN 'InList' ELSE 'NotInList' END""".replace("_SUBLINES", _in(codes.SUBLINES)),
     "EPLI": "CASE WHEN trim(g.cvrg_cd) = '172' OR (y.dstn_chnnl_cd > '01' AND ("
     + " OR ".join(
         f"(b.lob_cd = '{lob}' AND u.tp_bur_cd = '{bur}' AND trim(g.cvrg_cd) = '{code}')"
@@ -553,6 +580,37 @@ def reconcile_sql() -> str:
     return _tables_of("\nUNION ALL\n".join(counts))
 
 
+def reconciled_sql(name: str) -> str:
+    feed, safe = FEEDS[name], name in ("gain", "prwins", "majesco")
+    keys = {"gain": [*_KEYS, "ref_id", "st_prvnc_cd"], "prwins": [*_KEYS, "ref_id"],
+            "majesco": [*_KEYS, "ref_id"], "xm": [*_KEYS, "ref_id"]}.get(name, _KEYS)
+    trans, links = ("lnk_prem_tran", "lnk_plcy_cvrg") if safe else (_BLANK_TRAN, _BLANK_CVRG)
+    own = f"SELECT hash_plcy_id FROM hub_plcy WHERE rec_src_nm = '{feed.source}'"
+    more = last = ""
+    join, detail = "LEFT JOIN", ""
+    if name == "majesco":
+        own += " AND hash_plcy_id IN (SELECT hash_plcy_id FROM sat_plcy_dtl WHERE prod_cd IN ('BO', 'MP'))"
+        more, join = "AND coalesce(p.bndr_flg, 'N') = 'N'", "JOIN"
+        detail = "JOIN sat_plcy_cvrg_dtl v ON c.hash_plcy_cvrg_id = v.hash_plcy_cvrg_id"
+    if name == "xm":
+        last = """QUALIFY row_number() OVER (PARTITION BY t.hash_plcy_id, t.ref_id
+          ORDER BY t.btch_dt DESC, t.hash_prem_tran_id DESC) = 1"""
+    base = f"""SELECT t.*, p.chgd_prem_amt FROM ({own}) h
+      JOIN {trans} t ON {_same('h', 't', ['hash_plcy_id'], safe)}
+      JOIN sat_prem p ON t.hash_prem_tran_id = p.hash_prem_tran_id
+      WHERE t.tran_tp_cd IN ({_in(feed.types)}) AND {_IN_PERIOD} {more} {last}"""
+    finished = _policy_select(name, True)
+    items, _, rest = finished.partition("\nFROM hub_plcy h")
+    rows = f"SELECT t.hash_prem_tran_id AS id, p.chgd_prem_amt AS amount FROM hub_plcy h{rest}"
+    total = "count(*) AS row_count, CAST(sum(amount) AS DOUBLE) AS premium"
+    return _tables_of(f"""SELECT 'feed' AS stage, {total} FROM ({rows})
+UNION ALL SELECT 'core', count(*), CAST(sum(t.chgd_prem_amt) AS DOUBLE)
+  FROM ({base}) t {join} {links} c ON {_same('c', 't', keys, safe)} {detail}
+UNION ALL SELECT 'base', count(*), CAST(sum(t.chgd_prem_amt) AS DOUBLE) FROM ({base}) t
+UNION ALL SELECT 'repeated', {total}
+  FROM (SELECT id, sum(amount) AS amount FROM ({rows}) GROUP BY id HAVING count(*) > 1)""")
+
+
 def repeated_sql() -> str:
     return _tables_of(f"""SELECT t.hash_prem_tran_id AS txn_hash_prem_tran_id,
   c.hash_plcy_cvrg_id AS lnk_hash_plcy_cvrg_id,
@@ -745,6 +803,7 @@ QUERIES = {
     "claims_slice_last_year": claims_of_a_year,
     "formatted_extract": formatted_feed,
     "reconcile_counts": reconciled_feed,
+    **{f"reconcile_{n}": partial(reconciled, n) for n in FEEDS},
     "feed_duplicates": repeated_transactions,
     "run_audit": feed_audit,
     "spot_check": feed_spot_check,
@@ -763,6 +822,7 @@ ORACLES = {
     "claims_slice_last_year": claims_of_a_year_sql(),
     "formatted_extract": formatted_sql(),
     "reconcile_counts": reconcile_sql(),
+    **{f"reconcile_{n}": reconciled_sql(n) for n in FEEDS},
     "feed_duplicates": repeated_sql(),
     "run_audit": audit_sql(),
     "spot_check": spot_check_sql(),

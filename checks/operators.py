@@ -38,6 +38,7 @@ from vaultfeed.operators.quality import reconcile
 from vaultfeed.operators.shape import pad_to_schema, project, union_by_name
 from vaultfeed.operators.widen import widen
 from vaultfeed.sources import (
+    Warehouse,
     current_rows,
     json_lookup,
     json_number,
@@ -76,6 +77,24 @@ def scan_table(spark, sf):
     return reconcile({t: given(spark, sf, t) for t in TABLES})
 
 
+@check(
+    """SELECT 'load' AS stage, n_nationkey AS k, n_name AS v FROM nation
+UNION ALL SELECT 'catalog', r_regionkey, r_name FROM region
+UNION ALL SELECT 'views', c_custkey, c_name FROM customer WHERE c_acctbal IS NOT NULL"""
+)
+def warehouse_sources(spark, sf):
+    """A table from a stored schema, one from a catalog database and one through its SQL view."""
+    root = scratch_path(spark, "lake")
+    given(spark, sf, "nation").write.parquet(f"{root}/ADV_DB/nation")
+    stored = Warehouse.load(spark, root, names=("nation",))["nation"]
+    given(spark, sf, "region").createOrReplaceGlobalTempView("region")
+    listed = Warehouse.catalog(spark, "global_temp", names=("region",))["region"]
+    Warehouse.frames({"known_customer": given(spark, sf, "customer")}).register_views()
+    viewed = spark.sql("SELECT c_custkey, c_name FROM known_customer WHERE c_acctbal IS NOT NULL")
+    parts = (("load", stored, "n_nationkey", "n_name"), ("catalog", listed, "r_regionkey", "r_name"), ("views", viewed, "c_custkey", "c_name"))
+    return union_by_name([d.select(F.lit(s).alias("stage"), F.col(k).alias("k"), F.col(v).alias("v")) for s, d, k, v in parts])
+
+
 @check(
     """SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
 WHERE CASE WHEN o_orderstatus = 'F' THEN o_orderdate END IS NULL"""
@@ -748,6 +767,47 @@ def int_text_normalise(spark, sf):
     return orders.select("o_orderkey", codes.int_text(text).alias("number_text"))
 
 
+_RATE = """CASE l_linenumber % 3 WHEN 0 THEN 0.123456 WHEN 1 THEN 1234567.5 ELSE 7.25 END"""
+
+
+@check(
+    f"""SELECT l_orderkey, l_partkey, l_linenumber,
+  CAST(CAST(CAST(l_extendedprice AS DECIMAL(20,2)) * CAST({_RATE} AS DECIMAL(16,6)) AS DECIMAL(18,2)) AS DOUBLE) AS factor,
+  CAST(CAST(CAST(l_extendedprice AS DECIMAL(20,2)) * CAST({_RATE} AS DECIMAL(16,6)) * 0.01 AS DECIMAL(18,2)) AS DOUBLE)
+    AS percent FROM lineitem"""
+)
+def commission_exact(spark, sf):
+    """Plain factors of six places and rates above a million."""
+    lines, rate = given(spark, sf, "lineitem"), F.expr(f"CAST({_RATE} AS DECIMAL(14,6))")
+    price = F.col("l_extendedprice")
+    return lines.select(
+        "l_orderkey", "l_partkey", "l_linenumber",
+        commission_amount(price, rate, per_hundred=False).alias("factor"),
+        commission_amount(price, rate).alias("percent"),
+    )
+
+
+def _sql_list(values) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+@check(
+    f"""SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN '' WHEN c IN ({_sql_list(codes.MAJOR_PERILS)}) THEN 'InList'
+  ELSE 'NotInList' END AS peril, CASE WHEN p_partkey % 7 = 0 THEN '' WHEN c IN ({_sql_list(codes.SUBLINES)})
+  THEN 'InList' ELSE 'NotInList' END AS subline
+FROM (SELECT p_partkey, lpad(CAST(p_partkey % 1000 AS STRING), 3, '0') AS c FROM part)"""
+)
+def whole_code_lists(spark, sf):
+    """All three-digit codes against both long lists."""
+    code = F.lpad((F.col("p_partkey") % 1000).cast("string"), 3, "0")
+    code = F.when(F.col("p_partkey") % 7 != 0, code)
+    return given(spark, sf, "part").select(
+        "p_partkey",
+        codes.list_flag(code, codes.MAJOR_PERILS).alias("peril"),
+        codes.list_flag(code, codes.SUBLINES).alias("subline"),
+    )
+
+
 @check(
     """SELECT l_orderkey, l_partkey, CAST(CAST(CAST(l_extendedprice AS DECIMAL(18,2))
   * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(18,2)) AS DOUBLE) AS commission FROM lineitem"""

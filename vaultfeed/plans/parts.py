@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from vaultfeed.functions import codes
 from vaultfeed.functions.measures import percent_of
+from vaultfeed.functions.period import text_in_range
 from vaultfeed.operators.joins import (
     ROWS_PER_TASK,
     Hot,
@@ -158,27 +160,38 @@ class Parts:
         type_column = FAMILIES[family][1]
         return widen(rows, [key], type_column, measures, self.types[family], newest)
 
-    def policy_limits(self) -> DataFrame:
-        rows = self._attribute_rows("sat_plcy_lmt")
+    def policy_limits(self, own: DataFrame | None = None) -> DataFrame:
+        rows = _of_policies(self._attribute_rows("sat_plcy_lmt"), own)
         family = columns.POLICY_LIMIT
         return self._widen(family, "hash_plcy_id", {family: "lmt_amt"}, rows)
 
-    def _of_coverages(self, table: str, linked_only: bool) -> DataFrame:
+    def _of_coverages(
+        self, table: str, linked_only: bool, own: DataFrame | None = None
+    ) -> DataFrame:
         rows = self._attribute_rows(table)
+        if own is not None:
+            return restrict_to(rows, own, same("hash_plcy_cvrg_id"))
         if not linked_only:
             return rows
         linked = self["lnk_plcy_cvrg"].filter(F.col("hash_plcy_id").isNotNull())
         return restrict_to(rows, linked, same("hash_plcy_cvrg_id"))
 
-    def coverage_deductibles(self, linked_only: bool = True) -> DataFrame:
-        """Deductibles of coverages that belong to a policy; a join from the link needs no check."""
+    def coverage_deductibles(
+        self, linked_only: bool = True, own: DataFrame | None = None
+    ) -> DataFrame:
+        """Deductibles of coverages that belong to a policy; a join from the link needs no check.
+
+        ``own``, rows of the coverage link, leaves those of other coverages out before widening.
+        """
         family = columns.DEDUCTIBLE
-        rows = self._of_coverages("sat_plcy_cvrg_ded", linked_only)
+        rows = self._of_coverages("sat_plcy_cvrg_ded", linked_only, own)
         return self._widen(family, "hash_plcy_cvrg_id", {family: "ded_amt"}, rows)
 
-    def coverage_limits(self, linked_only: bool = True) -> DataFrame:
+    def coverage_limits(
+        self, linked_only: bool = True, own: DataFrame | None = None
+    ) -> DataFrame:
         family = columns.COVERAGE_LIMIT
-        rows = self._of_coverages("sat_plcy_cvrg_lmt", linked_only)
+        rows = self._of_coverages("sat_plcy_cvrg_lmt", linked_only, own)
         return self._widen(family, "hash_plcy_cvrg_id", {family: "lmt_amt"}, rows)
 
     def schedule_modifiers(self) -> DataFrame:
@@ -363,13 +376,20 @@ class Parts:
             F.max("cmsn_pct").alias("cmsn_pct"), F.sum("net_cmsn_amt").alias("net_cmsn_amt")
         )
 
-    def commission_percent(self, source: str) -> DataFrame:
-        """Net commission as a percentage of the charged premium of the same key."""
+    def commission_percent(
+        self, source: str, period: tuple[date, date] | None = None
+    ) -> DataFrame:
+        """Net commission as a percentage of the charged premium of the same key.
+
+        The period text is part of the key, so a feed of one period needs no premium of another.
+        """
         link = self["lnk_prem_tran"].filter(F.col("rec_src_nm") == source)
         premium = self["sat_prem"].select(
             "hash_prem_tran_id", "endrsmt_revsn_nbr", "acctg_yr_mo_txt", "chgd_prem_amt",
             codes.reference_root(F.col("ref_id")).alias("rf"),
         )
+        if period:
+            premium = premium.filter(text_in_range(F.col("acctg_yr_mo_txt"), *period))
         charged = spread_join(
             link.select("hash_prem_tran_id", "hash_plcy_id"),
             premium,

@@ -286,7 +286,7 @@ class PolicyFeeds:
         own = self._own_policies(feed)
         frame = attach(frame, parts.insured(own), "insd")
         frame = attach(frame, parts.primary_address(own), "adr")
-        frame = attach(frame, parts.policy_limits(), "lim")
+        frame = attach(frame, parts.policy_limits(own), "lim")
         if feed.producer:
             frame = attach(frame, parts.producers(feed.source), "prod")
         if feed.insurer == "company":
@@ -319,6 +319,7 @@ class PolicyFeeds:
             link = latest_per_key(link, feed.coverage_keys, order)
             order = newest_first("btch_dt", *sorted(set(detail.columns) - {"btch_dt"}))
             detail = latest_per_key(detail, ["hash_plcy_cvrg_id"], order)
+        of_link = link.select("hash_plcy_cvrg_id")
         link = tagged(link, "lnk", ["hash_plcy_cvrg_id", *feed.coverage_keys])
 
         def attach(frame: DataFrame, part: DataFrame, prefix: str, how="left") -> DataFrame:
@@ -326,9 +327,9 @@ class PolicyFeeds:
             return spread_join(frame, right, [(key, f"{prefix}_hash_plcy_cvrg_id")], how)
 
         frame = attach(link, detail, "cov", "inner" if feed.coverage_required else "left")
-        frame = attach(frame, parts.coverage_deductibles(linked_only=False), "ded")
+        frame = attach(frame, parts.coverage_deductibles(own=of_link), "ded")
         if feed.commercial:
-            frame = attach(frame, parts.coverage_limits(linked_only=False), "clm")
+            frame = attach(frame, parts.coverage_limits(own=of_link), "clm")
         if feed.agency:
             bureau = parts["sat_plcy_cvrg_sar_dtl"].select("hash_plcy_cvrg_id", "tp_bur_cd")
             frame = attach(frame, bureau, "bur")
@@ -430,7 +431,7 @@ class PolicyFeeds:
             return by_policy(frame, tagged(rows, "cms"), on("txn", "cms", *keys))
         frame = frame.withColumn("prm_rf", codes.reference_root(F.col("prm_ref_id")))
         net = parts.net_commission(feed.source).withColumnRenamed("net_cmsn_amt", "cmsn_amt")
-        percent = parts.commission_percent(feed.source)
+        percent = parts.commission_percent(feed.source, self.period)
 
         def pairs(tag: str) -> list[tuple[str, str]]:
             names = ("rf", "endrsmt_revsn_nbr", "acctg_yr_mo_txt")

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from vaultfeed.operators.joins import hot_keys, spread_join
+from vaultfeed.functions.period import text_in_range
+from vaultfeed.operators.joins import hot_keys, restrict_to, same, spread_join
 from vaultfeed.operators.shape import union_by_name
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, Period, PolicyFeeds
@@ -43,15 +44,34 @@ def _key(column: str) -> Column:
 
 
 class SourceSplit:
-    """Large tables of a warehouse stored by source below ``path``, a folder all executors share."""
-
-    def __init__(self, spark: SparkSession, parts: Parts, path: str, sources: Sequence[str]):
+    """Large tables of a warehouse stored by source below ``path``, a folder all executors share.
+
+    With a period, only its premium is stored, and of the other tables only what belongs to policies
+    that have premium in it: no feed of that period looks at anything else.
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        parts: Parts,
+        path: str,
+        sources: Sequence[str],
+        period: Period | None = None,
+    ):
         self.spark, self.parts, self.path = spark, parts, path.rstrip("/")
-        self.sources = tuple(sources)
+        self.sources, self.period = tuple(sources), period
         hub = parts["hub_plcy"].filter(F.col("rec_src_nm").isin(*self.sources))
         source = F.concat(F.lit(_MARK), "rec_src_nm").alias(_SOURCE)
-        owners = hub.select(_key("hash_plcy_id").alias("_owned"), source)
-        self._store_all(BY_POLICY, owners.distinct())
+        owners = hub.select(_key("hash_plcy_id").alias("_owned"), source).distinct()
+        by_policy = dict(BY_POLICY)
+        if period:
+            link = "lnk_prem_tran"
+            self._store(link, by_policy.pop(link), owners)
+            paid = self._premium().select("hash_prem_tran_id")
+            alive = restrict_to(self._stored(link), paid, same("hash_prem_tran_id"))
+            alive = alive.select(_key("hash_plcy_id").alias("_alive")).distinct()
+            owners = restrict_to(owners, alive, [("_owned", "_alive")])
+        self._store_all(by_policy, owners)
         for tables, link, key in (
             (BY_TRANSACTION, "lnk_prem_tran", "hash_prem_tran_id"),
             (BY_COVERAGE, "lnk_plcy_cvrg", "hash_plcy_cvrg_id"),
@@ -63,8 +83,15 @@ class SourceSplit:
         with ThreadPoolExecutor(len(tables)) as pool:
             list(pool.map(lambda t: self._store(t, tables[t], owners), tables))
 
+    def _premium(self) -> DataFrame:
+        premium = self.parts["sat_prem"]
+        if self.period:
+            premium = premium.filter(text_in_range(F.col("acctg_yr_mo_txt"), *self.period))
+        return premium
+
     def _store(self, name: str, key: str, owners: DataFrame) -> None:
-        table = self.parts[name].withColumn("_key", _key(key))
+        table = self._premium() if name == "sat_prem" else self.parts[name]
+        table = table.withColumn("_key", _key(key))
         hot = hot_keys(table, {"key": ["_key"]}, self.parts.min_hot_rows)["key"]
         owned = spread_join(table, owners, [("_key", "_owned")], "inner", hot=hot).drop("_key")
         owned.write.partitionBy(_SOURCE).parquet(f"{self.path}/{name}")
@@ -103,7 +130,7 @@ def combined_policies(
         found = [pool.submit(lambda: parts.types), pool.submit(parts.hot_roles)]
         for blank in {not FEEDS[n].null_safe for n in names}:
             found.append(pool.submit(parts.hot_transactions, blank))
-        split = SourceSplit(spark, parts, path, [FEEDS[n].source for n in names])
+        split = SourceSplit(spark, parts, path, [FEEDS[n].source for n in names], period)
         for each in found:
             each.result()
         return union_by_name(list(pool.map(lambda n: split.feed(n, period), names)))
