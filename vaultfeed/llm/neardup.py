@@ -254,3 +254,26 @@ def clusters(docs: DataFrame, rule: Rule = Rule(), doc_id: str = "doc_id", text:
         "n_shingles",
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+SQL = rf"""
+WITH RECURSIVE w AS MATERIALIZED (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+sh AS MATERIALIZED (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 2], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM w WHERE len(ws) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (
+  SELECT x, y FROM common JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT DISTINCT x AS a, x AS b FROM edges UNION SELECT a, y FROM reach JOIN edges ON b = x),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, coalesce(component_id, w.doc_id) AS component_id,
+  coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON w.doc_id = n.doc_id LEFT JOIN least ON w.doc_id = a
+"""

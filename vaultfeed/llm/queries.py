@@ -75,5 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_repeated_bytes": suffixes.SQL,
     "op7_decontaminate": decontaminate.SQL,
+    "op9_near_duplicates": neardup.SQL,
 }

@@ -399,3 +399,26 @@ def _list_sizes(column: pa.Array) -> np.ndarray:
 
 def _sha256(data: np.ndarray) -> str:
     return hashlib.sha256(data.tobytes()).hexdigest()
+
+
+SQL = """
+WITH b AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 99)) AS p FROM b),
+windows AS (SELECT doc_id, p, md5_number(substring(h, CAST(2 * p + 1 AS BIGINT), 200)) AS s FROM starts),
+later AS (
+  SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY s ORDER BY doc_id, p) AS k FROM windows) WHERE k > 1),
+cut AS (
+  SELECT doc_id, p, p > 100 + lag(p, 1, -1000) OVER (PARTITION BY doc_id ORDER BY p) AS opens FROM later),
+numbered AS (SELECT doc_id, p, sum(CAST(opens AS INT)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM cut),
+spans AS MATERIALIZED (SELECT doc_id, run, min(p) AS a, max(p) + 100 AS z FROM numbered GROUP BY doc_id, run),
+sums AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans, max(z) AS last FROM spans GROUP BY doc_id),
+pieces AS (
+  SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS after FROM spans),
+heads AS (
+  SELECT doc_id, string_agg(substring(h, CAST(2 * after + 1 AS BIGINT), CAST(2 * (a - after) AS BIGINT)), '' ORDER BY a) AS kept
+  FROM pieces JOIN b USING (doc_id) GROUP BY doc_id)
+SELECT b.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substring(h, CAST(2 * coalesce(last, 0) + 1 AS BIGINT)))) AS kept_sha256
+FROM b LEFT JOIN sums USING (doc_id) LEFT JOIN heads USING (doc_id)
+"""
