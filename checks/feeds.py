@@ -73,6 +73,10 @@ def combined_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     return comparable(claim_feeds(spark, sf_dir).union(branch_column="Branch"))
 
 
+def claim_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return comparable(claim_feeds(spark, sf_dir).changes())
+
+
 def sliced_claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     claims = claim_feeds(spark, sf_dir).union()
     return comparable(claim_slice(claims, CLAIM_START, (2000, 11)))
@@ -702,6 +706,21 @@ def sliced_claims_sql() -> str:
   OR ("Accounting Year" = '2000' AND CAST("Accounting Month" AS INT) < 12)""")
 
 
+def claim_changes_sql() -> str:
+    before = """(SELECT hash_clm_fincl_tran_id, lead(tran_amt) OVER (
+    PARTITION BY k.hash_clm_id, cost_ctgry_cd, cost_tp_descr, rsrv_ln_id, tran_tp_cd
+    ORDER BY tran_dt DESC, hash_clm_fincl_tran_id DESC) AS amount
+  FROM lnk_clm_tran k JOIN sat_clm_tran_dtl USING (hash_clm_fincl_tran_id))"""
+    more = """, CAST(b.amount AS DOUBLE) AS "Previous Amount",
+  CAST(x.tran_amt - b.amount AS DOUBLE) AS "Change In Amount"
+FROM sat_clm_dtl c"""
+    where = f"""
+  LEFT JOIN {before} b ON k.hash_clm_fincl_tran_id = b.hash_clm_fincl_tran_id
+WHERE c.rec_src_nm"""
+    sql = _claim_select("juris").replace("\nFROM sat_clm_dtl c", more)
+    return _tables_of(sql.replace("\nWHERE c.rec_src_nm", where))
+
+
 def claims_of_a_year_sql() -> str:
     union = "\nUNION ALL BY NAME\n".join(
         f"SELECT *, '{n}' AS \"Branch\" FROM ({_claim_select(n)})" for n in _CLAIM_SOURCE
@@ -798,6 +817,7 @@ QUERIES = {
     "claims_esl": partial(claim_feed, "esl"),
     "claims_juris": partial(claim_feed, "juris"),
     "claims_esl_reserve": partial(claim_feed, "esl_reserve"),
+    "claims_juris_changes": claim_changes,
     "union_claims": combined_claims,
     "claims_slice_null_period": sliced_claims,
     "claims_slice_last_year": claims_of_a_year,
@@ -817,6 +837,7 @@ ORACLES = {
     "claims_esl": claim_sql("esl"),
     "claims_juris": claim_sql("juris"),
     "claims_esl_reserve": claim_sql("esl_reserve"),
+    "claims_juris_changes": claim_changes_sql(),
     "union_claims": combined_claims_sql(),
     "claims_slice_null_period": sliced_claims_sql(),
     "claims_slice_last_year": claims_of_a_year_sql(),

@@ -14,8 +14,13 @@ from pyspark.sql import functions as F
 
 from vaultfeed.functions.codes import int_text
 from vaultfeed.functions.period import months_between
-from vaultfeed.operators.joins import lookup_join, same, spread_join
-from vaultfeed.operators.newest import latest_per_key, latest_then_filter, newest_first
+from vaultfeed.operators.joins import lookup_join, restrict_to, same, spread_join
+from vaultfeed.operators.newest import (
+    latest_per_key,
+    latest_then_filter,
+    newest_first,
+    previous_value,
+)
 from vaultfeed.operators.shape import project, union_by_name
 from vaultfeed.plans import columns
 from vaultfeed.plans.parts import Parts
@@ -94,6 +99,9 @@ BRANCHES = {
     ),
 }
 
+# Transactions that follow one another.
+CHANGE_KEYS = ("hash_clm_id", "cost_ctgry_cd", "cost_tp_descr", "rsrv_ln_id", "tran_tp_cd")
+
 _DATES = ("Policy Effective Date", "Transaction Date", "Date of Loss")
 _NUMBERS = ("Accounting Year", "Accounting Month", "Accident Year")
 
@@ -131,11 +139,13 @@ class ClaimFeeds:
         names = tagged(parts.source_names(), "src").filter(F.col("src_cd_val") == branch.source)
         return lookup_join(frame, names, [("clm_rec_src_nm", "src_cd_val")])
 
-    def transactions(self, branch: Branch) -> DataFrame:
-        """Financial transactions in the run of months, or reserves of any month."""
+    def transactions(self, branch: Branch, every: bool = False) -> DataFrame:
+        """Financial transactions in the run of months, or reserves of any month; or ``every`` one."""
         parts, hot = self.parts, self.parts.hot_claims()
         detail = parts["sat_clm_tran_dtl"]
-        if branch.reserves:
+        if every:
+            wanted = F.lit(True)
+        elif branch.reserves:
             wanted = F.col("tran_tp_cd") == "Reserve"
         else:
             year, month = F.col("acctg_yr_nbr"), F.col("acctg_mo_nbr")
@@ -160,8 +170,36 @@ class ClaimFeeds:
     def build(self, name: str) -> DataFrame:
         """One branch on the claim schema; years and months as whole-number text."""
         branch = self.branches[name]
+        return self._finished(self.transactions(branch), branch)
+
+    def changes(self, name: str = "juris") -> DataFrame:
+        """A branch with the amount before each transaction's, and the change from it.
+
+        The one before is the next older transaction of the same claim, cost, reserve line and type, also if
+        it lies before the run of months; the first has none.
+        """
+        branch, keys = self.branches[name], [f"trn_{c}" for c in CHANGE_KEYS]
+        claims = self.parts["sat_clm_dtl"].filter(F.col("rec_src_nm") == branch.source)
+        frame = restrict_to(
+            self.transactions(branch, every=True), claims, [("trn_hash_clm_id", "hash_clm_id")]
+        )
+        frame = previous_value(
+            frame, keys, "trn_tran_dt", ["trn_hash_clm_fincl_tran_id"], "trn_tran_amt",
+            "trn_previous_amt", "month",
+        )
+        year, month = F.col("trn_acctg_yr_nbr"), F.col("trn_acctg_mo_nbr")
+        frame = frame.filter(months_between(year, month, self.start, self.end))
+        more = {
+            "Previous Amount": F.col("trn_previous_amt"),
+            "Change In Amount": F.col("trn_tran_amt") - F.col("trn_previous_amt"),
+        }
+        return self._finished(frame, branch, more)
+
+    def _finished(
+        self, transactions: DataFrame, branch: Branch, more: Mapping[str, Column] | None = None
+    ) -> DataFrame:
         frame = spread_join(
-            self.transactions(branch),
+            transactions,
             self.claims(branch),
             [("trn_hash_clm_id", "clm_hash_clm_id")],
             "inner",
@@ -176,7 +214,7 @@ class ClaimFeeds:
             output[n] = output[n].cast("date")
         for n in _NUMBERS:
             output[n] = int_text(output[n])
-        return project(frame, {n: output[n] for n in columns.CLAIM_COLUMNS})
+        return project(frame, {n: output[n] for n in columns.CLAIM_COLUMNS} | dict(more or {}))
 
     def union(self, names: Sequence[str] | None = None, branch_column: str | None = None):
         """All rows of the named branches (default: all); a reserve can also be a claim row.

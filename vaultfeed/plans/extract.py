@@ -133,6 +133,9 @@ def run(
         for name, part in claim_outputs(spark.read.parquet(f"{whole}/rows"), start, end).items():
             written[name] = f"{folder}/{name}"
             export(part, written[name], formats)
+        if "juris" in claims:
+            written["claims_juris_changes"] = f"{folder}/claims_juris_changes"
+            export(ClaimFeeds(parts, start, end).changes(), written["claims_juris_changes"], formats)
         stored = spark.read.parquet(f"{whole}/parquet")
         named = file_name_of("Transaction Amount"), file_name_of("Transaction Date")
         return _with_missing(run_audit(stored, ["Branch"], *named, batch_date), "Branch", claims)
