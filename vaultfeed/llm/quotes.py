@@ -118,7 +118,7 @@ def conversations(messages: DataFrame) -> DataFrame:
     rows = messages.select("conv_id", "turn", "role", "text")
     kinds = dict(rows.dtypes)
     schema = f"conv_id {kinds['conv_id']}, turn {kinds['turn']}, role string, content string, own array<long>, quoted map<long, int>, quote_levels int"
-    parsed = mapped(rows, _parsed, schema)
+    parsed = written(mapped(rows, _parsed, schema), "parsed")  # read three times below
     chain = threads(links(parsed))
     out = parsed.drop("own", "quoted").join(chain, ["conv_id", "turn"], "left")
     text = F.concat(F.lit("<|im_start|>"), F.coalesce("role", F.lit("user")), F.lit("\n"), F.coalesce("content", F.lit("")), F.lit("<|im_end|>\n"))
