@@ -1,7 +1,6 @@
 import json
 
 import pytest
-from pyspark.errors import PySparkException
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -59,7 +58,7 @@ def test_json_lookup(spark):
     assert look("k") == [("a", "A b"), ("b", None)]
     assert look("one") == [("c", "C")]
     assert look("none") == look("absent") == []
-    with pytest.raises(PySparkException):  # a broken list must not pass for an empty one
+    with pytest.raises(Exception, match="(?i)malformed|unrecognized token"):  # not an empty list
         look("bad")
 
 
