@@ -71,6 +71,24 @@ def test_spans_are_cut_and_covered_documents_go(spark):
     assert got == {1: f"{filler}. ! {filler}", 3: None, 4: filler}
 
 
+def cleaned(spark, docs, items):
+    frames = spark.createDataFrame(docs, ID_TEXT), spark.createDataFrame(items, "item_id long, text string")
+    return sorted(map(tuple, decontaminate.clean(*frames).collect()))
+
+
+def test_blocks_do_not_change_what_is_cut(spark, monkeypatch):
+    passage = [f"p{k}" for k in range(38)]
+    items = [(k, " ".join(f"i{k}w{n}" for n in range(30))) for k in range(8)]
+    items += [(20, " ".join(passage[:30])), (21, " ".join(passage[24:]))]
+    noise = [f"n{k}" for k in range(60)]
+    docs = [(10 * a + b, " ".join([*noise[:40], items[a][1], items[b][1]])) for a in range(8) for b in range(a)]
+    docs += [(100, " ".join([*noise, *passage])), (101, None), (102, "")]
+    whole = cleaned(spark, docs, items)
+    assert whole == [(100, " ".join(noise) + " "), (101, None), (102, "")]
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
+    assert cleaned(spark, docs, items) == whole
+
+
 def test_awkward_rows(spark, awkward):
     items = [(1, "same words stand here twice and once more"), (2, "end")]
     rows = [(r.doc_id, r.text) for r in awkward.collect()]

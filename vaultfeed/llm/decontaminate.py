@@ -212,25 +212,43 @@ def clean(
     """The rows of docs with their columns; covered runs are cut out of the text, from first to last word of each run.
 
     A row is dropped if more than max_coverage of its words are covered. All other rows, null and empty texts too,
-    stay as they are. The benchmark's size is handled as in matches().
+    stay as they are. The runs of all blocks are gathered on the uncut text, as in matches(), before any is cut.
     """
-    out = docs
+    mark = "_runs"
+    while mark in docs.columns:
+        mark += "_"
+    rows = docs.withColumn(mark, F.array().cast("array<int>"))
     for k, automaton in enumerate(automata(items, "item_id", "text", window)):
-        out = mapped((written(out, "clean") if k else out), _cut(docs, automaton, text, max_coverage), docs.schema)
-    return out
+        rows = mapped((written(rows, "clean") if k else rows), _marked(docs, automaton, text, mark), rows.schema)
+    return mapped(rows, _cut(text, mark, max_coverage), docs.schema)
 
 
-def _cut(docs: DataFrame, automaton: Automaton, column: str, most: float):
+def _marked(docs: DataFrame, automaton: Automaton, column: str, mark: str):
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
+        for part in slices(batches, column):
+            runs = []
+            for text, old in zip(part.column(column).to_pylist(), part.column(mark).to_pylist(), strict=True):
+                spans, _ = own.hits(words(text))
+                spans = _joined([*spans, *zip(old[::2], old[1::2], strict=True)]) if old else spans
+                runs.append([x for s in spans for x in s])
+            where = part.schema.get_field_index(mark)
+            columns = list(part.columns)
+            columns[where] = pa.array(runs, part.schema.field(where).type)
+            yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return run
+
+
+def _cut(column: str, mark: str, most: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, column):
             texts, keep = part.column(column).to_pylist(), []
-            for k, text in enumerate(texts):
-                ws = words(text)
-                spans, _ = own.hits(ws)
-                keep.append(not spans or sum(b - a for a, b in spans) <= most * len(ws))
+            for k, (text, runs) in enumerate(zip(texts, part.column(mark).to_pylist(), strict=True)):
+                spans = list(zip(runs[::2], runs[1::2], strict=True))
+                keep.append(not spans or sum(b - a for a, b in spans) <= most * len(words(text)))
                 if spans:
                     raw = text.encode()
                     at = [m.span() for m in _WORD.finditer(raw.lower())]
@@ -238,9 +256,8 @@ def _cut(docs: DataFrame, automaton: Automaton, column: str, most: float):
                         raw = raw[: at[a][0]] + raw[at[b - 1][1] :]
                     texts[k] = raw.decode()
             where = part.schema.get_field_index(column)
-            columns = list(part.columns)
-            columns[where] = pa.array(texts, part.schema.field(where).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=part.schema).filter(pa.array(keep))
+            part = part.set_column(where, part.schema.field(where), pa.array(texts, part.schema.field(where).type))
+            yield part.filter(pa.array(keep)).drop_columns([mark])
 
     return run
 
