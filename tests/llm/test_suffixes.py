@@ -66,6 +66,54 @@ def test_planted_repeats(spark, monkeypatch, chunk):
     assert result(spark.createDataFrame(docs, ID_TEXT).repartition(3)) == brute(docs)
 
 
+def lined(n, line):
+    """Documents with one line of under 100 bytes between different surroundings, some repeated."""
+    dice = random.Random(n)
+    around = ["".join(dice.choices("abcdefgh", k=60)) for _ in range(n)]
+    docs = [(i, around[i] + line + around[-1 - i // 2]) for i in range(n)]
+    return docs + [(n + i, t[:90] + line + t) for i, t in docs[:9]] + [(3, docs[3][1]), (n + 20, docs[5][1] + "é")]
+
+
+LINE = "this line of boilerplate stands in a third of all documents, in its own surroundings"
+
+
+def test_hot_anchors_are_split(spark, monkeypatch):
+    docs = lined(60, LINE)
+    frame = spark.createDataFrame(docs, ID_TEXT).repartition(3)
+    rows = frame.selectExpr("doc_id", "text", "crc32(encode(text, 'UTF-8')) as check")
+    hot, windows = suffixes.hot_anchors(rows, 20, 1)
+    assert len(hot) and windows > 60 and not len(suffixes.hot_anchors(rows, 20_000, 1)[0])
+    monkeypatch.setattr(suffixes, "HOT_SEGMENTS", 20)
+    monkeypatch.setattr(suffixes, "SAMPLED", 1)
+    monkeypatch.setattr(suffixes, "PACK_WINDOWS", 300)
+    monkeypatch.setattr(suffixes, "BUCKET_BYTES", 4000)
+    assert result(frame) == brute(list(dict.fromkeys(docs)))
+
+
+def test_no_bucket_meets_all_windows_of_a_hot_anchor():
+    raw = [t.encode() for _, t in lined(60, LINE)]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    hashed = RunHash(data)
+    s = suffixes.segments(np.arange(len(raw)), np.zeros(len(raw), np.int64), data, offsets, hashed)
+    _, anchor = s.keys(hashed)
+    value, count = np.unique(anchor, return_counts=True)
+    hot = s.take(np.flatnonzero(anchor == value[count.argmax()])).packed()
+    sent = suffixes._scattered([hot], 16).to_pylist()
+    sizes = [len(r["starts"]) // 4 for r in sent if r["windows"] is None]
+    assert len(hot) >= 60 and len(sizes) == 16 and max(sizes) < sum(sizes) / 8
+
+
+@pytest.mark.parametrize("limit", [1, 2, 8])
+def test_hot_and_other_anchors_agree(spark, monkeypatch, limit):
+    monkeypatch.setattr(suffixes, "HOT_SEGMENTS", limit)
+    monkeypatch.setattr(suffixes, "SAMPLED", 1)
+    dice = random.Random(limit)
+    passages = ["".join(dice.choices("abcdef é", k=n)) for n in (60, 99, 130, 250)]
+    docs = [(i, "".join(p + "".join(dice.choices("xyz", k=9)) for p in dice.choices(passages, k=3))) for i in range(40)]
+    docs += [(50, "z" * 350), (51, "z" * 120), (-3, docs[7][1])]
+    assert result(spark.createDataFrame(docs, ID_TEXT).repartition(3)) == brute(docs)
+
+
 def test_awkward_rows(awkward):
     got = sorted(map(tuple, suffixes.digests(awkward).collect()), key=str)
     rows = [(r.doc_id, r.text) for r in awkward.collect()]

@@ -22,6 +22,10 @@ SPAN = LENGTH - GRAM + 1
 SHALLOW = 48
 #: Bytes of text hashed at a time, of segments gathered before they are sent, and of segments per bucket on average.
 CHUNK_BYTES, PACK_BYTES, BUCKET_BYTES = 2 << 20, 40 << 20, 24 << 20
+#: Different segments of one anchor above which its windows are sent one by one; the share of segments (one in so many, by
+#: their bytes) that this is judged by, which decides on the way only, not on results; windows gathered before they are
+#: sent; bytes of such a window.
+HOT_SEGMENTS, SAMPLED, PACK_WINDOWS, WINDOW_BYTES = 20_000, 64, 1 << 18, 32
 _BLOCK = 1 << 19
 
 
@@ -247,12 +251,69 @@ def _sent(parts: list[tuple[Segments, np.ndarray, np.ndarray]], done: list[np.nd
     if len(known):
         wide = (known[:, k].astype(t).tobytes() for k, t in enumerate(("<i8", "<u4", "<i4", "<i4")))
         rows.append((int(known[0, 0]) % buckets, *wide, None, None))
+    return _rows(rows)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
     kinds = [pa.int32(), *[pa.binary()] * 6]
     columns = list(zip(*rows, strict=True)) if rows else [[]] * 7
     names = [c.split()[0] for c in _BLOB.split(", ")]
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
 
+@dataclass
+class Windows:
+    """Single windows: document (id and check value), start in the document, and two hashes of all their bytes."""
+
+    doc: np.ndarray
+    check: np.ndarray
+    start: np.ndarray
+    one: np.ndarray
+    two: np.ndarray
+
+    def take(self, which: np.ndarray) -> Windows:
+        return Windows(*(getattr(self, f)[which] for f in ("doc", "check", "start", "one", "two")))
+
+    def settled(self) -> tuple[Windows, np.ndarray]:
+        """The earliest window of each content, and the spans of the others; a window that was given twice is one."""
+        w = self.take(np.lexsort((self.start, self.check, self.doc, self.two, self.one)))
+        fresh = np.ones(len(w.doc), bool)
+        fresh[1:] = (w.one[1:] != w.one[:-1]) | (w.two[1:] != w.two[:-1])
+        model = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
+        later = (w.doc != w.doc[model]) | (w.check != w.check[model]) | (w.start != w.start[model])
+        spans = np.stack([w.doc, w.check, w.start, w.start + LENGTH], axis=1)[later]
+        return w.take(np.flatnonzero(fresh)), joined(spans)
+
+
+def single_windows(s: Segments) -> Windows:
+    """All windows of packed segments."""
+    at = runs(s.at, s.windows)
+    one, two = (RunHash(s.data, seed).of(at, at + LENGTH) for seed in (1, 2))
+    return Windows(np.repeat(s.doc, s.windows), np.repeat(s.check, s.windows), runs(s.start, s.windows), one, two)
+
+
+def _scattered(parts: list[Segments], buckets: int) -> pa.RecordBatch:
+    """Windows of hot anchors, one row per bucket of their hashes: the earliest of each content among these, and the spans of the others."""
+    w, known = single_windows(joint(parts)).settled()
+    bucket = (w.one % np.uint64(buckets)).astype(np.int64)
+    w = w.take(np.argsort(bucket, kind="stable"))
+    cuts, rows = np.searchsorted(np.sort(bucket), np.arange(buckets + 1)), []
+    for b in np.flatnonzero(np.diff(cuts)).tolist():
+        p = w.take(np.arange(cuts[b], cuts[b + 1]))
+        hashes = np.stack([p.one, p.two]).astype("<u8").tobytes()
+        rows.append((b, *(x.astype(t).tobytes() for x, t in ((p.doc, "<i8"), (p.check, "<u4"), (p.start, "<i4"))), None, hashes, None))
+    if len(known):
+        wide = (known[:, k].astype(t).tobytes() for k, t in enumerate(("<i8", "<u4", "<i4", "<i4")))
+        rows.append((int(known[0, 0]) % buckets, *wide, None, None))
+    return _rows(rows)
+
+
+def _gathered(rows: list[dict]) -> Windows:
+    """The windows of several rows."""
+    fields = [np.concatenate([np.frombuffer(r[c], t) for r in rows]).astype(np.int64) for c, t in (("docs", "<i8"), ("checks", "<u4"), ("starts", "<i4"))]
+    return Windows(*fields, *np.concatenate([np.frombuffer(r["anchors"], "<u8").reshape(2, -1) for r in rows], axis=1))
+
+
 def _received(row: dict) -> tuple[Segments, np.ndarray, np.ndarray]:
     """One row's segments, with the keys of their bytes and anchors."""
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["bytes"]), np.uint8)
@@ -283,29 +344,69 @@ def joined(spans: np.ndarray) -> np.ndarray:
     return out
 
 
-def repeats(docs: DataFrame, buckets: int) -> DataFrame:
+def _keyed(part: pa.RecordBatch) -> tuple[Segments, np.ndarray, np.ndarray]:
+    """Segments of a chunk of texts in order, and their keys and anchors."""
+    data, offsets = joined_bytes(part.column("text"))
+    hashed = RunHash(data)
+    doc, check = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "check"))
+    s = segments(doc, check, data, offsets, hashed)
+    s = s.take(s.order())
+    return s, *s.keys(hashed)
+
+
+def hot_anchors(docs: DataFrame, limit: int, sampled: int) -> tuple[np.ndarray, int]:
+    """Hashes of the anchors with more than `limit` different segments, and the number of their windows.
+
+    Counted on the segments whose bytes' hash is 0 modulo `sampled`: all copies of a segment count once, wherever they are.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text", CHUNK_BYTES):
+            s, key, anchor = _keyed(part)
+            some = np.flatnonzero((key >> np.uint64(8)) % np.uint64(sampled) == 0)
+            columns = [pa.array(x[some].view(np.int64)) for x in (anchor, key)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(s.windows[some])], names=["anchor", "key", "windows"])
+
+    different = mapped(docs, run, "anchor long, key long, windows long").distinct()
+    groups = different.groupBy("anchor").agg(F.count("*").alias("n"), F.sum("windows").alias("windows"))
+    found = groups.where(F.col("n") * sampled > limit).select("anchor", "windows").collect()  # at most all segments / limit
+    return np.sort(np.array([r.anchor for r in found], np.int64).view(np.uint64)), sampled * sum(r.windows for r in found)
+
+
+def repeats(docs: DataFrame, buckets: int, hot: np.ndarray) -> DataFrame:
     """doc_id, check, first, end: byte spans of windows that also start earlier.
 
     Map: texts are cut into segments; those that repeat among the texts of one pack are settled at once, so that a
-    passage of many documents is sent once per pack. Reduce: the segments of a bucket of anchors meet.
+    passage of many documents is sent once per pack. Reduce: the segments of a bucket of anchors meet. Windows whose
+    anchor is hot go by a 128-bit hash of their bytes instead, the earliest of each per pack, so that such an anchor's
+    windows are spread over all buckets.
     """
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+    most = PACK_WINDOWS
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, done, held = [], [], 0
+        single, windows = [], 0
         for part in slices(batches, "text", CHUNK_BYTES):
-            data, offsets = joined_bytes(part.column("text"))
-            hashed = RunHash(data)
-            doc, check = (part.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("doc_id", "check"))
-            s = segments(doc, check, data, offsets, hashed)
-            s = s.take(s.order())
-            key, anchor = s.keys(hashed)
+            s, key, anchor = _keyed(part)
             again = s.repeated(key)
             done.append(joined(s.take(np.flatnonzero(again)).spans()))
-            parts.append((s.take(np.flatnonzero(~again)).packed(), key[~again], anchor[~again]))
+            apart = ~again & np.isin(anchor, shared.value)
+            cold = ~again & ~apart
+            total = np.cumsum(s.windows[apart])
+            for some in np.split(np.flatnonzero(apart), np.searchsorted(total, np.arange(most, total[-1] if len(total) else 0, most))):
+                single.append(s.take(some).packed())
+                windows += int(s.windows[some].sum())
+                if windows >= most:
+                    yield _scattered(single, buckets)
+                    single, windows = [], 0
+            parts.append((s.take(np.flatnonzero(cold)).packed(), key[cold], anchor[cold]))
             held += len(parts[-1][0].data)
             if held >= PACK_BYTES:
                 yield _sent(parts, done, buckets)
                 parts, done, held = [], [], 0
+        if single:
+            yield _scattered(single, buckets)
         if parts:
             yield _sent(parts, done, buckets)
 
@@ -326,7 +427,9 @@ def repeats(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def _settled(rows: list[dict]) -> pa.RecordBatch:
-    found = [np.zeros((0, 4), np.int64), *(_known(r) for r in rows if r["bytes"] is None)]
+    found = [np.zeros((0, 4), np.int64), *(_known(r) for r in rows if r["windows"] is not None and r["bytes"] is None)]
+    if single := [r for r in rows if r["windows"] is None]:
+        found.append(_gathered(single).settled()[1])
     parts = [_received(r) for r in rows if r["bytes"] is not None]
     if parts:
         s, key, anchor = joint([p[0] for p in parts]), *(np.concatenate([p[k] for p in parts]) for k in (1, 2))
@@ -358,8 +461,10 @@ def removed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("check", F.crc32(F.encode("text", "UTF-8")))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = max(1, ceil(size * (1 + 2 * LENGTH / SPAN) / BUCKET_BYTES))
-    spans = repeats(rows.where("doc_id is not null and octet_length(text) >= 100"), buckets)
+    long = rows.where("doc_id is not null and octet_length(text) >= 100")
+    hot, windows = hot_anchors(long, HOT_SEGMENTS, SAMPLED)
+    buckets = max(1, ceil((size * (1 + 2 * LENGTH / SPAN) + windows * WINDOW_BYTES) / BUCKET_BYTES))
+    spans = repeats(long, buckets, hot)
     spans = written(spans, "repeats").groupBy("doc_id", "check").agg(F.collect_list(F.struct("first", "end")).alias("spans"))
     return rows.join(spans, ["doc_id", "check"], "left").select("doc_id", "text", "spans")
 
