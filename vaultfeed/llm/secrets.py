@@ -27,6 +27,14 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 _PAIR = re.compile(
     r"""(?<![\w.$-])([A-Za-z_$][\w.$-]*+)["'\]]*+[ \t]*+(?::=|=>|=(?![=>])|:(?![:/]))[ \t]*+(?=[\w"'`$+/.-])"""
 )
+_ATOM = r"""(?:[&*]|\[\w*\])*+(?:'\w++[ \t]++)?+(?:(?:mut|const|readonly|dyn)[ \t]++)?+(?:[A-Za-z_][\w.]*+(?:::\w++)*+|(?<=\]))(?:<[^=\n;"]{0,80}>)?+(?:\[[^]=\n;"]{0,80}\]){0,3}+[?!*]?+"""
+#: A name, its type and `=`: `name: type =`, and Go's `var name type =` (or `name string =` in a group) and `name As type =`.
+_TYPED = re.compile(
+    rf"""(?<![\w.$-])(?:(?:var|const)[ \t]++([A-Za-z_]\w*+)[ \t]++{_ATOM}"""
+    rf"""|([A-Za-z_]\w*+)[ \t]++(?:[*]?string|\[\w*\](?:byte|rune|string)|[Aa]s[ \t]++\w++)"""
+    rf"""|([A-Za-z_$][\w.$-]*+)["'\]]*+[?!]?+[ \t]*+:(?![:=/])[ \t]*+{_ATOM}(?:[ \t]*+[|&][ \t]*+{_ATOM})*+)"""
+    r"""[ \t]*+=(?![=>])[ \t]*+(?=[\w"'`$+/.-])"""
+)
 _STRING = re.compile(r'''"((?:[^"\\\n]|\\.)*+)"|'((?:[^'\\\n]|\\.)*+)'|`((?:[^`\\]|\\.)*+)`''')
 _BARE = re.compile(r"[A-Za-z0-9+/_.=$-]++")
 _PLUS = re.compile(r"[ \t]*+\+[ \t]*+(?=[\w\"'`$])")
@@ -47,39 +55,59 @@ def name_weight(name: str) -> float:
     return max((w for pattern, w in _SENSITIVE if pattern.search(name)), default=0.0)
 
 
-def literal_weight(value: str) -> float:
-    """0 for short, dummy or plain-word values; up to 1 with length, mixed characters and entropy."""
-    if len(value) < 8 or _DUMMY.match(value) or " " in value:
+def literal_weight(value: str, name: float = 0.0) -> float:
+    """0 for short, dummy or plain-word values; up to 1 with length, mixed characters and entropy.
+
+    For a name of weight 1 a phrase or a value of one kind of characters counts by length and entropy, too.
+    """
+    if len(value) < 8 or _DUMMY.match(value):
         return 0.0
     kinds = sum(map(bool, (re.search(p, value) for p in ("[a-z]", "[A-Z]", "[0-9]", r"[^\w]"))))
     entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
-    return 0.0 if kinds < 2 else min(1.0, entropy / 3.0)
+    if " " in value or kinds < 2:
+        return min(1.0, len(value) / 12) * min(1.0, entropy / 4.0) if name >= 1.0 else 0.0
+    return min(1.0, entropy / 3.0)
+
+
+def _value(text: str, at: int, constants: dict) -> tuple[str, list[tuple[int, int]], int]:
+    """The value at a place, the places of its literals, and where it ends."""
+    value, places = "", []
+    while True:
+        if s := _STRING.match(text, at):
+            value += s[s.lastindex]
+            places = [*places, s.span(s.lastindex)]
+        elif s := _BARE.match(text, at):
+            known = constants.get(s[0].lstrip("$")) if _NAME.match(s[0]) else None
+            value += known[0] if known else s[0]
+            places = [*places, *known[1]] if known else [*places, s.span()]
+        else:
+            break
+        at = s.end()
+        if not (plus := _PLUS.match(text, at)):
+            break
+        at = plus.end()
+    return value, places, at
 
 
 def pairs(text: str) -> Iterator[tuple[str, str, list[tuple[int, int]]]]:
     """Name, value and the places of the literals it is made of, constants propagated in text order.
 
     A value is a quoted string, a bare word or a chain of them with `+`; a bare word that names an earlier constant
-    stands for that constant's value and literals.
+    stands for that constant's value and literals. A name with a type annotation has what stands after its `=`, and
+    the annotation besides, as that may be a value.
     """
     constants: dict[str, tuple[str, list[tuple[int, int]]]] = {}
-    at = 0
-    while m := _PAIR.search(text, at):
-        value, places, at = "", [], m.end()
-        while True:
-            if s := _STRING.match(text, at):
-                value += s[s.lastindex]
-                places = [*places, s.span(s.lastindex)]
-            elif s := _BARE.match(text, at):
-                known = constants.get(s[0].lstrip("$")) if _NAME.match(s[0]) else None
-                value += known[0] if known else s[0]
-                places = [*places, *known[1]] if known else [*places, s.span()]
-            else:
-                break
-            at = s.end()
-            if not (plus := _PLUS.match(text, at)):
-                break
-            at = plus.end()
+    at, typed = 0, _TYPED.search(text)
+    while (m := _PAIR.search(text, at)) or typed:
+        if m is None or (typed and typed.start() < m.start()):
+            name = typed[typed.lastindex]
+            value, places, _ = _value(text, typed.end(), constants)
+            typed = _TYPED.search(text, typed.end())
+            if places:
+                constants[name] = value, places
+                yield name, value, places
+            continue
+        value, places, at = _value(text, m.end(), constants)
         if places:
             constants[m[1]] = value, places
             yield m[1], value, places
@@ -103,7 +131,7 @@ def spans(text: str | None) -> list[tuple[str, int, int, float]]:
     if named:
         scores: dict[tuple[int, int], float] = {}
         for name, value, places in pairs(text):
-            if (weight := name_weight(name)) and (score := weight * literal_weight(value)) >= THRESHOLD:
+            if (weight := name_weight(name)) and (score := weight * literal_weight(value, weight)) >= THRESHOLD:
                 for place in places:
                     scores[place] = max(score, scores.get(place, 0.0))
         base = [f[1:3] for f in found]
