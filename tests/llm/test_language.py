@@ -43,6 +43,24 @@ def test_accuracy_on_held_out_documents(judged, con):
     assert all(0 <= r.score <= 1 for r in judged.values())
 
 
+def test_every_language_is_learned(spark, monkeypatch):
+    dice = np.random.default_rng(3)
+    rows = []
+    for g in range(90):
+        vocabulary = ["".join(map(chr, dice.integers(0x4E00 + 40 * g, 0x4E00 + 40 * g + 40, 3))) for _ in range(12)]
+        rows += [(100 * g + k, " ".join(dice.choice(vocabulary, 15)), f"g{g:02}") for k in range(4 + 12 * (g % 2))]
+    docs = spark.createDataFrame(rows, ID_TEXT + ", lang string")
+    want = {i: g for i, _, g in rows}
+    model = language.fit(docs)
+    assert len(model.languages) == len({want[i] for i in want if zlib.crc32(str(i).encode()) % 4 != 2}) == 90
+    got = {r.doc_id: r.lang_pred for r in language.predict(docs, model).collect()}
+    assert np.mean([got[i] == want[i] for i in want]) > 0.97
+    monkeypatch.setattr(language, "SAMPLE", 180)
+    monkeypatch.setattr(language, "MARKS", 60)
+    small = language.fit(docs)
+    assert len(small.languages) == 90 and small.matrix.shape[1] == 60
+
+
 def test_only_the_text_is_read(spark, sf):
     docs = queries.table(spark, sf, "documents")
     model = language.fit(docs)

@@ -14,8 +14,8 @@ from .common import mapped, mix, slices
 
 ORDERS = (1, 2, 3, 4)
 SLOTS = 1 << 15  # of one order's n-grams; texts with equal n-grams always agree
-#: Bounds of the labelled sample: per language, and languages (the most frequent ones).
-PER_LANGUAGE, LANGUAGES, LANDMARKS = 250, 64, 24
+#: Bounds of the labelled sample and of the landmarks, per language and of all languages together.
+PER_LANGUAGE, SAMPLE, LANDMARKS, MARKS = 250, 16_000, 24, 512
 RIDGE = 1e-3
 BATCH = 128
 
@@ -85,7 +85,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", held: bool = True) -> Model:
-    """A model from at most PER_LANGUAGE texts of each of at most LANGUAGES languages, chosen by a hash of the text.
+    """A model of all languages from at most PER_LANGUAGE texts of each, fewer with many languages, chosen by a hash of the text.
 
     Only rows with a language and a text that has a letter; with held, rows that held_out() names are left out.
     """
@@ -94,10 +94,9 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()) if held else rows
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
     light = rows.select("lang", "doc_id", F.xxhash64("text").alias("h"))
-    chosen = light.withColumn("r", F.row_number().over(order)).where(F.col("r") <= PER_LANGUAGE)
-    frequent = light.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    chosen = chosen.join(F.broadcast(frequent), "lang").select("h").distinct()
-    wanted = [r.h for r in chosen.collect()]  # at most PER_LANGUAGE * LANGUAGES numbers
+    each = max(1, min(PER_LANGUAGE, SAMPLE // max(1, light.select("lang").distinct().count())))
+    chosen = light.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each).select("h").distinct()
+    wanted = [r.h for r in chosen.collect()]  # at most SAMPLE numbers, or one per language
     picked = rows.where(F.xxhash64("text").isin(wanted)) if wanted else rows.limit(0)
     picked = picked.dropDuplicates(["lang", "text"]).select("lang", "text")
 
@@ -111,12 +110,19 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
 
 
 def solve(sample: list[tuple[str, np.ndarray]]) -> Model:
-    """Landmarks spread evenly over each language's sample; ridge regression on the Nyström features of the sample."""
-    languages = sorted({g for g, _ in sample})
-    marks = []
+    """Landmarks spread evenly over each language's sample; ridge regression on the Nyström features of the sample.
+
+    With more than MARKS languages, MARKS landmarks are spread evenly over the languages.
+    """
+    texts: dict[str, list[np.ndarray]] = {}
+    for g, s in sample:
+        texts.setdefault(g, []).append(s)
+    languages, marks = sorted(texts), []
     for g in languages:
-        own = [s for h, s in sample if h == g]
-        marks += [own[i] for i in np.linspace(0, len(own) - 1, min(LANDMARKS, len(own))).astype(int)]
+        own = texts[g]
+        marks += [own[i] for i in np.linspace(0, len(own) - 1, min(LANDMARKS, max(1, MARKS // len(languages)), len(own))).astype(int)]
+    if len(marks) > MARKS:
+        marks = [marks[i] for i in np.linspace(0, len(marks) - 1, MARKS).astype(int)]
     used = np.unique(np.concatenate(marks)) if marks else np.zeros(0, np.int64)
     slot = np.full(len(ORDERS) * SLOTS, -1, np.int32)
     slot[used] = np.arange(len(used))
@@ -130,8 +136,10 @@ def solve(sample: list[tuple[str, np.ndarray]]) -> Model:
     root = vectors / np.sqrt(np.maximum(values, 1e-6))  # Nyström features: kernel with landmarks times K^(-1/2)
     x = model.kernel([s for _, s in sample]).astype(np.float64) @ root
     x = np.hstack([x, np.ones((len(x), 1))])
-    y = np.array([[1.0 if g == h else -1.0 for h in languages] for g, _ in sample])
-    share = np.array([1 / sum(g == h for h, _ in sample) for g, _ in sample])[:, None] * len(sample) / len(languages)
+    number = {g: k for k, g in enumerate(languages)}
+    y = np.full((len(sample), len(languages)), -1.0)
+    y[np.arange(len(sample)), [number[g] for g, _ in sample]] = 1.0
+    share = np.array([1 / len(texts[g]) for g, _ in sample])[:, None] * len(sample) / len(languages)
     w = np.linalg.solve(x.T @ (share * x) + RIDGE * len(sample) * np.eye(x.shape[1]), x.T @ (share * y))
     model.weights = np.vstack([root @ w[:-1], w[-1:]]).astype(np.float32)
     return model
