@@ -53,6 +53,32 @@ def test_long_chain(spark):
     assert all(got[7, k][2:] == (0, k) for k in range(70))
 
 
+def test_deeper_levels_are_linked(spark):
+    rows = [
+        (1, 0, "u", "the original words"),
+        (1, 1, "u", "other words"),
+        (1, 2, "u", ">> the original words\nI agree."),
+        (1, 3, "u", "> Ann wrote:\n>> other words\nSo do I."),
+        (1, 4, "u", "> other words\n>> the original words\nAnd I."),
+        (1, 5, "u", "> said by nobody\n>>> the original words\nEnd."),
+    ]
+    out = {r.turn: r for r in quotes.conversations(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [out[k].reply_to for k in range(6)] == [None, None, 0, 1, 1, 0]
+    assert list(map(tuple, out[4].quotes)) == [(1, 1), (2, 0)] and out[0].quotes == []
+
+
+def test_position_is_reply_order(spark):
+    rows = [(1, k, "u", (f"> words {up}\n" if up is not None else "") + f"words {k}") for k, up in enumerate([None, 0, None, 0, 1, 2, 3, 1, 4])]
+    rows += [(2, 5, "u", "x"), (2, 3, "u", "y"), (2, 3, "u", "y"), (None, 1, "u", "a"), (None, 2, "u", "b")]
+    out = quotes.conversations(spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+
+    def order(conv):
+        return [(r.position, r.turn) for r in sorted((r for r in out if r.conv_id == conv), key=lambda r: r.position)]
+
+    assert order(1) == list(enumerate([0, 1, 4, 8, 7, 3, 6, 2, 5]))
+    assert order(2) == [(0, 3), (1, 3), (2, 5)] and order(None) == [(0, 1), (1, 2)]
+
+
 def test_awkward_rows(spark):
     rows = [(1, 0, None, None), (1, 1, "user", ""), (None, 2, "user", "> x\ny"), (1, None, "user", "> y\nz"), (1, 3, "user", "> only a quote"), (1, 4, "user", "same"), (1, 4, "user", "same"), (1, 5, "user", "> same\nend")]
     out = quotes.conversations(spark.createDataFrame(rows, SCHEMA)).collect()
