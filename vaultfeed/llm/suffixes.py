@@ -18,7 +18,7 @@ from .common import RunHash, joined_bytes, mapped, runs, slices, written
 #: A window is a string of LENGTH bytes; its anchor is its GRAM-byte substring of the least hash, the first of equal ones.
 LENGTH, GRAM = 100, 16
 SPAN = LENGTH - GRAM + 1
-#: Bytes that multikey quicksort orders before blind tries take over.
+#: Bytes that are ordered by words with a library sort before blind tries take over.
 SHALLOW = 48
 #: Bytes of text hashed at a time, of segments gathered before they are sent, and of segments per bucket on average.
 CHUNK_BYTES, PACK_BYTES, BUCKET_BYTES = 2 << 20, 40 << 20, 24 << 20
