@@ -10,7 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
@@ -34,6 +34,25 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, group: str, order: list[str], position: str, count: str) -> DataFrame:
+    """rows with their position, from 0, within their group in the given order, and the number of rows of the group.
+
+    rows should be a stored table: it is read twice. Rows are dealt by ranges of the order, equal ones by their place
+    in the table, so that a group of any size lies in many tasks; it is numbered there and the rows before are added.
+    """
+    spread = rows.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id()))
+    dealt = spread.repartitionByRange(group, *order, "_tie").sortWithinPartitions(group, *order).drop("_tie")
+    dealt = written(dealt.withColumn("_at", F.monotonically_increasing_id()), "ordered").withColumn("_part", F.shiftright("_at", 33))
+    parts = dealt.groupBy(group, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    whole = Window.partitionBy(group)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(
+        group, "_part", (F.col("_first") - F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_shift"), F.sum("_n").over(whole).alias(count)
+    )
+    placed = dealt.join(written(parts, "parts"), [group, "_part"])  # stored, so that its size is known
+    return placed.withColumn(position, F.col("_at") - F.col("_shift")).drop("_at", "_part", "_shift")
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, fingerprint, language, neardup, quality, quotes, secrets, suffixes, tokens
+from . import bpe, decontaminate, density, fingerprint, language, merkle, neardup, quality, quotes, secrets, suffixes, tokens, whitening
 
 VOCABULARY_FILE = "byte_bpe_multi_50k.tiktoken"
 
@@ -61,6 +61,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digests(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return density.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language": op1_language,
     "op2_secrets": op2_secrets,
@@ -72,10 +84,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_conversations": op8_conversations,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_quality": op10_quality,
+    "op11_whitening": op11_whitening,
+    "op12_merkle": op12_merkle,
+    "op13_main_text": op13_main_text,
 }
 
 ORACLES: dict[str, str] = {
     "op3_repeated_bytes": suffixes.SQL,
     "op7_decontaminate": decontaminate.SQL,
     "op9_near_duplicates": neardup.SQL,
+    "op12_merkle": merkle.SQL,
+    "op13_main_text": density.SQL,
 }
