@@ -89,3 +89,53 @@ def test_chains_and_cycles_have_one_root(spark):
 def test_query(spark, sf, documents):
     got = {r.doc_id: tuple(r)[1:] for r in queries.op9_near_duplicates(spark, sf).collect()}
     assert got == brute(documents, neardup.Rule(3, 85))
+
+
+def just_linked(percent, n, dice):
+    """Pairs of sets of 200 members or so whose similarity is the least that is linked."""
+    out = []
+    for _ in range(n):
+        union = dice.randint(200, 260)
+        both = -(-union * percent // 100)
+        words = dice.sample(range(1 << 60), union)
+        extra = (union - both) // 2
+        out.append((words[: both + extra], words[:both] + words[both + extra :]))
+    return out
+
+
+@pytest.mark.parametrize("percent", [40, 50, 60, 85, 100])
+def test_no_link_at_the_limit_is_lost(percent):
+    """Pairs at the limit, 300 for each rule, and pairs below it: the matches follow the percentage."""
+    rule, dice = neardup.Rule(3, percent), random.Random(percent)
+    sets = [np.unique(neardup.mix(np.array(s, np.uint64))) for pair in just_linked(percent, 300, dice) for s in pair]
+    ends = np.cumsum([0, *map(len, sets)])
+    got = {tuple(sorted(p)) for p in neardup.linked_sets(np.concatenate(sets), ends, rule)}
+    assert got == {(k, k + 1) for k in range(0, 600, 2)}
+    side = np.arange(600) % 2
+    assert {tuple(sorted(p)) for p in neardup.linked_sets(np.concatenate(sets), ends, rule, side)} == got
+    assert neardup.linked_sets(np.concatenate(sets), ends, rule, side * 0) == []
+
+
+@pytest.mark.parametrize("percent", [40, 60])
+def test_components_of_low_similarity(spark, percent):
+    docs, rule = variants(percent, 240, 0.08), neardup.Rule(3, percent)
+    assert result(spark.createDataFrame(docs, ID_TEXT), rule) == brute(docs, rule)
+
+
+def test_common_lines_make_no_group(spark):
+    """Texts that share a line, a fifth of their words, have enough values of their own to drop out before any group."""
+    dice = random.Random(1)
+    line = " ".join(f"common{k}" for k in range(20))
+    docs = [(i, line + " " + " ".join(f"w{dice.random()}" for _ in range(80))) for i in range(400)]
+    rule = neardup.Rule(3, 85)
+    every = neardup.written(neardup.described(spark.createDataFrame(docs, ID_TEXT), rule, "doc_id", "text"), "t")
+    assert neardup.groups(every, rule).count() == 0
+
+
+def test_a_group_of_copies_costs_its_length():
+    """2,000 near copies: each list is walked once, not once for each of them."""
+    dice = np.random.default_rng(2)
+    base = dice.integers(1 << 62, size=400).astype(np.uint64)
+    sets = [np.unique(np.concatenate([base[1:], dice.integers(1 << 62, size=1).astype(np.uint64)])) for _ in range(2000)]
+    ends = np.cumsum([0, *map(len, sets)])
+    assert len(neardup.linked_sets(np.concatenate(sets), ends, neardup.Rule())) == 1999

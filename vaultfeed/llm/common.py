@@ -159,7 +159,7 @@ def _powers(n: int, base: int) -> tuple[np.ndarray, np.ndarray]:
             p[0] = 1
             both.append(np.multiply.accumulate(p))
         _POWERS[base] = have = (both[0], both[1])
-        if size > (32 << 20):  # not kept: one very long text shall not hold memory afterwards
+        if size > (1 << 20):  # not kept: one very long text shall not hold memory afterwards
             del _POWERS[base]
     return have
 
@@ -168,7 +168,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, root for every node of the undirected edges; root: the smallest node that can be reached.
 
     Alternates two steps over the edges until nothing changes: each node's larger neighbours, then its smaller
-    ones, are linked to the smallest neighbour. Every round is one written table; the driver only sees two sums.
+    ones, are linked to the smallest neighbour. Every round is four written tables; the driver only sees two sums.
+    The least neighbours are tables of their own, so that a join with a node of very many neighbours can be split.
     """
     def state(pair: DataFrame):
         return pair.agg(F.count("*"), F.count_distinct("hi"), F.sum(F.xxhash64("lo", "hi") % 1_000_003)).first()
@@ -179,8 +180,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before[0]:
         both = pair.union(pair.select("hi", "lo")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        least = written(least, "least")
         large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
-        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        large = written(large, "large")
+        down = written(large.groupBy("hi").agg(F.min("lo").alias("m")), "down")
         small = large.join(down, "hi").select("m", F.explode(F.array("lo", "hi")).alias("hi"))
         pair = written(small.select(F.col("m").alias("lo"), "hi").where("lo < hi").distinct(), "edges")
         now = state(pair)

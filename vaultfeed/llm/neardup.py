@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from math import ceil, log
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +13,9 @@ from pyspark.sql import functions as F
 
 from .common import RunHash, components, joined_bytes, mapped, mix, slices, written
 
-#: A coordinate of a signature is the minima of WIDTH hash functions together: sets of similarity s agree in one with
-#: chance s ** WIDTH. There are so many coordinates that a linked pair shares none with chance below MISS.
-WIDTH, MISS = 5, 1e-7
-#: Of the first COUNTED single minima a pair has to agree in MATCHES before its sets are compared in full; at a
-#: similarity of 0.8 fewer agree with chance below 1e-10.
-COUNTED, MATCHES = 64, 28
+#: Coordinates of a signature: the minima of so many hash functions over a set, so that sets of similarity s agree in
+#: each with chance s. A linked pair agrees in fewer than the rule's `matches` of them with chance below MISS.
+COORDINATES, MISS = 64, 1e-7
 #: Bytes of text compared in one cell; a larger group is cut into blocks and every two blocks meet in a cell.
 CELL_BYTES = 8 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -32,8 +29,19 @@ class Rule:
     percent: int = 80
 
     @property
-    def coordinates(self) -> int:
-        return ceil(log(MISS) / log(1 - (self.percent / 100) ** WIDTH)) if self.percent < 100 else 1
+    def matches(self) -> int:
+        """Coordinates that a linked pair agrees in at least."""
+        p, below = self.percent / 100, 0.0
+        for k in range(COORDINATES):
+            below += comb(COORDINATES, k) * p**k * (1 - p) ** (COORDINATES - k)
+            if below > MISS:
+                return max(1, k)
+        return COORDINATES
+
+    @property
+    def prefix(self) -> int:
+        """Two sets with that many matches share one of so many coordinates, however these are ordered, if in one order."""
+        return COORDINATES - self.matches + 1
 
 
 def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -81,38 +89,29 @@ def minima(shingles: np.ndarray, n: int) -> np.ndarray:
     return (out >> np.uint64(32)).astype(np.uint32)
 
 
-def coordinates(shingles: np.ndarray, n: int) -> np.ndarray:
-    """One 64-bit value per coordinate, in which the coordinate's number takes part."""
-    wide = minima(shingles, n * WIDTH).reshape(n, WIDTH).astype(np.uint64)
-    out = np.arange(1, n + 1, dtype=np.uint64)
-    for k in range(WIDTH):
-        out = mix(out * _STEP + wide[:, k])
-    return out
-
-
 def described(docs: DataFrame, rule: Rule, doc_id: str, text: str) -> DataFrame:
-    """doc_id, n_bytes, n_shingles, set_id (128 bits, null for an empty set), posts (coordinate values)."""
+    """doc_id, n_bytes, n_shingles, set_id (128 bits, null for an empty set), signature (one value per coordinate)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text", 1 << 20):
+        for part in slices(batches, "text", 1 << 19):
             hashes, ends = shingle_sets(part.column("text"), rule.words)
-            ids, posts = [], []
+            ids, values = [], []
             for a, b in zip(ends[:-1], ends[1:], strict=True):
                 own = hashes[a:b]
                 ids.append(set_id(own) if b > a else None)
-                posts.append(coordinates(own, rule.coordinates).astype(np.int64) if b > a else np.zeros(0, np.int64))
+                values.append(minima(own, COORDINATES).view(np.int32) if b > a else np.zeros(0, np.int32))
             columns = [
                 part.column("doc_id"),
                 pa.array(np.diff(joined_bytes(part.column("text"))[1])),
                 pa.array(np.diff(ends)),
                 pa.array(ids, pa.string()),
-                pa.array(posts, pa.list_(pa.int64())),
+                pa.array(values, pa.list_(pa.int32())),
             ]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_shingles", "set_id", "posts"])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_bytes", "n_shingles", "set_id", "signature"])
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = dict(rows.dtypes)["doc_id"]
-    return mapped(rows, run, f"doc_id {kind}, n_bytes long, n_shingles long, set_id string, posts array<long>")
+    return mapped(rows, run, f"doc_id {kind}, n_bytes long, n_shingles long, set_id string, signature array<int>")
 
 
 def set_id(shingles: np.ndarray) -> str:
@@ -120,60 +119,93 @@ def set_id(shingles: np.ndarray) -> str:
     return f"{int(mix(shingles + _STEP).sum()):016x}{int(mix(shingles ^ _STEP).sum() & np.uint64(0xFFFFFFFFFFFFFFFF)):016x}{len(shingles):x}"
 
 
-def groups(described_docs: DataFrame) -> DataFrame:
-    """doc_id, root, of one document per distinct set that shares a coordinate value with another: what may be linked.
+def groups(described_docs: DataFrame, rule: Rule) -> DataFrame:
+    """doc_id, n_bytes, root, of one document per distinct set that may be linked with another.
 
-    Documents are posted under each coordinate value; of a list only its least member is kept as the partner of all
-    others, so a list of n makes n - 1 rows, however long it is. Groups are the components of these rows.
+    Every document is posted under each of its coordinate-value pairs, and a list's length is counted. Prefix: sorted by
+    these lengths, the shortest list first, two documents with enough matches share one of their first `prefix` lists.
+    Most documents have as many values of their own, and drop out here; long lists, as of a common line, come last and
+    mostly play no part. Of each remaining list only its least member is the partner of all others, so a list of n makes
+    n - 1 rows, however long it is. Groups are the components of these rows.
     """
     reps = described_docs.where("set_id is not null and doc_id is not null").groupBy("set_id")
-    reps = reps.agg(F.min_by(F.struct("doc_id", "posts"), "doc_id").alias("d")).select("d.*")
-    posts = reps.select("doc_id", F.explode("posts").alias("post"))
-    lists = posts.groupBy("post").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).where("n > 1")
-    pairs = posts.join(lists, "post").where("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b"))
-    return components(pairs).select(F.col("node").alias("doc_id"), "root")
-
-
-def linked_sets(hashes: np.ndarray, ends: np.ndarray, percent: int, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    reps = reps.agg(F.min_by(F.struct("doc_id", "n_bytes", "signature"), "doc_id").alias("d")).select("d.*")
+    reps = written(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
+    pair = F.shiftleft(F.col("k").cast("long"), 32) + F.col("value").cast("long")
+    posts = reps.select("rep", F.posexplode("signature").alias("k", "value")).select("rep", pair.alias("post"))
+    # Lists are tables of their own, so that Spark knows their size and can split a join with a very long one.
+    length = written(posts.groupBy("post").agg(F.count("*").alias("n")).where("n > 1"), "lengths")
+    shared = posts.join(length, "post").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("lists"))
+    use = F.greatest(F.lit(0), F.size("lists") - (COORDINATES - rule.prefix))
+    first = written(shared.select("rep", F.explode(F.slice("lists", 1, use)).alias("list")).select("rep", "list.post"), "prefixes")
+    lists = first.groupBy("post").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
+    pairs = first.join(written(lists, "lists"), "post").where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
+    return components(pairs).withColumnRenamed("node", "rep").join(reps.drop("signature"), "rep").select("doc_id", "n_bytes", "root")
+
+
+class Lists:
+    """Inverted lists of a cell's signatures: of each set its `prefix` coordinate values with the shortest lists."""
+
+    def __init__(self, signatures: np.ndarray, prefix: int):
+        n, m = signatures.shape
+        pairs = (np.arange(m, dtype=np.uint64) << np.uint64(32))[None, :] + signatures
+        _, code, length = np.unique(pairs.ravel(), return_inverse=True, return_counts=True)
+        code = code.reshape(n, m)
+        order = np.argsort(length[code] * (code.max(initial=0) + 1) + code, axis=1)[:, :prefix]
+        self.of = np.take_along_axis(code, order, axis=1)
+        member = np.argsort(self.of.ravel(), kind="stable")
+        ends = np.cumsum(np.bincount(self.of.ravel(), minlength=len(length)))
+        self.members = {c: part // self.of.shape[1] for c, part in enumerate(np.split(member, ends[:-1])) if len(part) > 1}
+
+    def merged(self, p: int, open_: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """Open sets from lo up to hi in any list of p. Lists skip what lies outside, and drop what is not open any more."""
+        found = []
+        for c in self.of[p].tolist():
+            if (part := self.members.get(c)) is not None:
+                part = part[open_[part]]
+                if len(part):
+                    self.members[c] = part
+                    found.append(part[np.searchsorted(part, lo, "left") : np.searchsorted(part, hi, "left")])
+                else:
+                    del self.members[c]
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
+def linked_sets(hashes: np.ndarray, ends: np.ndarray, rule: Rule, side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """A spanning forest of the links among sets: every two linked sets are joined by a chain of the pairs returned.
 
-    Breadth first: each set is held against the sets that no chain has reached yet. Prefix: sizes must allow the
-    similarity. Count: at least MATCHES minima must agree. What is left is compared in full. With `side`, only pairs
-    of different sides are compared.
+    Breadth first: a set's lists are merged, which names the sets that no chain has reached yet and that sizes allow; the
+    coordinates in which they collide with it are counted, and with `matches` of them the two are compared in full. A
+    set that is reached leaves all lists, so a group of near copies costs its length. With `side`, only pairs of
+    different sides are compared.
     """
-    n = len(ends) - 1
     size = np.diff(ends)
-    signature = np.array([minima(hashes[a:b], COUNTED) for a, b in zip(ends[:-1], ends[1:], strict=True)]).reshape(n, COUNTED)
-    order = np.argsort(size, kind="stable")
-    open_, left = np.ones(n, bool), n
-    free, out = order, []
-    for root in order:
+    order = np.argsort(size, kind="stable")  # sets are numbered by size, so that a range of sizes is a range of numbers
+    size = size[order]
+    signature = np.array([minima(hashes[ends[k] : ends[k + 1]], COORDINATES) for k in order]).reshape(len(order), COORDINATES)
+    lists, open_, out = Lists(signature, rule.prefix), np.ones(len(order), bool), []
+    for root in range(len(order)):
         if not open_[root]:
             continue
         open_[root] = False
-        left -= 1
         queue = [root]
         while queue:
             p = queue.pop()
-            if len(free) > 2 * left + 16:
-                free = free[open_[free]]
-            lo = np.searchsorted(size[free], ceil(size[p] * percent / 100), "left")
-            hi = np.searchsorted(size[free], size[p] * 100 // percent, "right")
-            near = free[lo:hi]
-            near = near[open_[near]]
+            lo = np.searchsorted(size, ceil(size[p] * rule.percent / 100), "left")
+            hi = np.searchsorted(size, size[p] * 100 // rule.percent, "right")
+            near = lists.merged(p, open_, lo, hi)
             if side is not None:
-                near = near[side[near] != side[p]]
-            near = near[(signature[near] == signature[p]).sum(axis=1) >= MATCHES]
-            mine = hashes[ends[p] : ends[p + 1]]
+                near = near[side[order[near]] != side[order[p]]]
+            near = near[(signature[near] == signature[p]).sum(axis=1) >= rule.matches]
+            mine = hashes[ends[order[p]] : ends[order[p] + 1]]
             for q in near.tolist():
-                other = hashes[ends[q] : ends[q + 1]]
+                other = hashes[ends[order[q]] : ends[order[q] + 1]]
                 at = np.minimum(np.searchsorted(other, mine), len(other) - 1)
                 both = int(np.count_nonzero(other[at] == mine))
-                if 100 * both >= percent * (len(mine) + len(other) - both):
+                if 100 * both >= rule.percent * (len(mine) + len(other) - both):
                     open_[q] = False
-                    left -= 1
                     queue.append(q)
-                    out.append((int(p), q))
+                    out.append((int(order[p]), int(order[q])))
     return out
 
 
@@ -183,7 +215,7 @@ def links(docs: DataFrame, rule: Rule, described_docs: DataFrame, doc_id: str, t
     Each group's whole texts meet in one task, sorted by cell. A group above CELL_BYTES is cut into blocks, and each two
     blocks meet in a cell of their own, so that no task holds more than two blocks and no pair is left out.
     """
-    member = groups(described_docs).join(described_docs.select("doc_id", "n_bytes"), "doc_id")
+    member = written(groups(described_docs, rule), "members")
     large = member.groupBy("root").agg(F.ceil(F.sum("n_bytes") / CELL_BYTES).alias("blocks"))
     member = member.join(large, "root").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     others = F.transform(
@@ -192,7 +224,7 @@ def links(docs: DataFrame, rule: Rule, described_docs: DataFrame, doc_id: str, t
     )
     member = written(member.select("doc_id", "n_bytes", "root", "block", others.alias("cells")), "groups")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-    cells = rows.join(member.hint("merge"), "doc_id").select("doc_id", "text", "root", "block", F.explode("cells").alias("cell"))
+    cells = rows.join(member, "doc_id").select("doc_id", "text", "root", "block", F.explode("cells").alias("cell"))
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -222,13 +254,13 @@ def links(docs: DataFrame, rule: Rule, described_docs: DataFrame, doc_id: str, t
 
 def _cell(held: list[pa.RecordBatch], key: tuple, rule: Rule) -> pa.RecordBatch:
     table = pa.Table.from_batches(held).combine_chunks()
-    sets = [shingle_sets(b.column("text"), rule.words) for b in slices(table.to_batches(), "text", 1 << 20)]
+    sets = [shingle_sets(b.column("text"), rule.words) for b in slices(table.to_batches(), "text", 1 << 19)]
     hashes = np.concatenate([h for h, _ in sets])
     size = np.concatenate([np.diff(e) for _, e in sets])
     ends = np.concatenate(([0], np.cumsum(size)))
     side = np.array(table.column("block").to_pylist()) if key[1] != key[2] else None
     ids = table.column("doc_id")
-    pairs = linked_sets(hashes, ends, rule.percent, side) if len(ids) > 1 else []
+    pairs = linked_sets(hashes, ends, rule, side) if len(ids) > 1 else []
     a, b = ([ids[p[k]] for p in pairs] for k in (0, 1))
     return pa.RecordBatch.from_arrays([pa.array([x.as_py() for x in c], ids.type) for c in (a, b)], names=["a", "b"])
 
