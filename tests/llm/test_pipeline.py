@@ -110,3 +110,14 @@ def test_run_applies_the_stages_one_after_the_other(spark, sf):
 def test_no_documents(spark, sf, docs):
     for name in STAGES:
         assert STAGES[name](spark, docs.limit(0), sf).count() == 0
+
+
+def test_stages_keep_clashing_columns(spark, sf, docs):
+    """Columns named like those that stages make for themselves pass through every stage but the last."""
+    names = ["_copy", "copy", "row", "count", "kept", "rep", "root", "keep", "grade", "runs"]
+    given = docs.where("doc_id >= 900 or doc_id is null").selectExpr("*", *(f"{k} as {n}" for k, n in enumerate(names)))
+    for name in ("quality", "near_duplicates", "decontaminate", "secrets"):
+        got = STAGES[name](spark, given, sf)
+        assert got.columns == [*COLUMNS, *names]
+        assert all(tuple(r)[5:] == tuple(range(len(names))) for r in got.collect())
+    assert STAGES["encode"](spark, given, sf).count() == given.count()
