@@ -11,7 +11,7 @@ from checks import feeds
 from checks.compare import TABLES
 from checks.warehouse import given, with_tables
 from vaultfeed.functions import codes
-from vaultfeed.functions.measures import commission_amount, money
+from vaultfeed.functions.measures import commission_amount, commission_problem, money
 from vaultfeed.functions.period import (
     accounting_range,
     months_between,
@@ -786,6 +786,30 @@ def commission_exact(spark, sf):
     )
 
 
+_PLACES = """CASE l_linenumber % 4 WHEN 0 THEN 0.12345678 WHEN 1 THEN 4.9999996 WHEN 2 THEN 0.00000001 ELSE 12345678.12345678 END"""
+_UNITS = """CASE l_linenumber % 4 WHEN 0 THEN 12345678 WHEN 1 THEN 499999960 WHEN 2 THEN 1 ELSE 1234567812345678 END"""
+
+
+@check(
+    f"""SELECT l_orderkey, l_partkey, l_linenumber,
+  CAST(sign(cents) * ((abs(cents) * rate + 50000000) // 100000000) / 100.0 AS DOUBLE) AS factor,
+  CAST(sign(cents) * ((abs(cents) * rate + 5000000000) // 10000000000) / 100.0 AS DOUBLE) AS percent,
+  abs(cents) * 100000 * rate >= 100000000 * 1000000000000000000::HUGEINT AS beyond
+FROM (SELECT l_orderkey, l_partkey, l_linenumber,
+  CAST(round((l_extendedprice - 20000) * 100) AS HUGEINT) AS cents, CAST({_UNITS} AS HUGEINT) AS rate FROM lineitem)"""
+)
+def commission_of_eight_places(spark, sf):
+    """Factors of eight places, on amounts of both signs; and which hundred thousandfold amounts are beyond money."""
+    lines, rate = given(spark, sf, "lineitem"), F.expr(f"CAST({_PLACES} AS DECIMAL(16,8))")
+    price = F.round(F.col("l_extendedprice") - 20000, 2).cast("decimal(18,2)")
+    return lines.select(
+        "l_orderkey", "l_partkey", "l_linenumber",
+        commission_amount(price, rate, per_hundred=False).alias("factor"),
+        commission_amount(price, rate).alias("percent"),
+        commission_problem((price * 100000).cast("decimal(18,2)"), rate, per_hundred=False).isNotNull().alias("beyond"),
+    )
+
+
 def _sql_list(values) -> str:
     return ", ".join(f"'{v}'" for v in values)
 

@@ -1,11 +1,13 @@
+import random
 from datetime import date
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
 from vaultfeed.functions import codes
-from vaultfeed.functions.measures import commission_amount, percent_of
+from vaultfeed.functions.measures import commission_amount, commission_problem, percent_of
 from vaultfeed.functions.period import (
     accounting_range,
     months_between,
@@ -153,6 +155,32 @@ def test_commission_rates_are_not_cut(spark):
     ]
 
 
+def test_commission_is_exact(spark):
+    """Against exact fractions: random amounts and rates of any length, both signs, and the cases next to half a cent."""
+    dice = random.Random(11)
+    data = [("0.10", "4.9999996"), ("1000000000.00", "0.12345678"), ("0.01", "50"), ("-0.01", "50"), ("0.01", "49.999999999999999999"), ("100.00", "0.005"), ("9999999999999999.99", "100")]
+    for _ in range(300):
+        premium = dice.randrange(10 ** dice.randint(1, 18)) * dice.choice((1, -1))
+        places = dice.randint(0, 18)
+        digits = dice.randint(1, 20 + places)
+        data.append((f"{Decimal(premium).scaleb(-2):f}", f"{Decimal(dice.randrange(10**digits) * dice.choice((1, -1))).scaleb(-places):f}"))
+    df = spark.createDataFrame(data, "p string, r string").withColumns({"p": F.col("p").cast("decimal(18,2)"), "r": F.col("r").cast("decimal(38,18)")})
+    columns = [commission_amount(F.col("p"), F.col("r"), h) for h in (True, False)] + [commission_problem(F.col("p"), F.col("r"), h) for h in (True, False)]
+    for (p, r), row in zip(data, df.select(*columns).collect(), strict=True):
+        for k, per in enumerate((100, 1)):
+            cents = Fraction(p) * 100 * Fraction(r) / per
+            want = (abs(cents) + Fraction(1, 2)).__floor__() * (1 if cents >= 0 else -1)
+            fits = abs(want) < 10**18
+            assert row[k] == (Decimal(want).scaleb(-2) if fits else None), (p, r, per)
+            assert row[2 + k] == (None if fits else "amount beyond money")
+
+
+def test_commission_problems(spark):
+    df = spark.createDataFrame([("1", "2"), (None, "2"), ("x", "2"), ("1", "x"), ("1" * 17, "1"), ("1", "9" * 21)], "p string, r string")
+    got = [r[0] for r in df.select(commission_problem(F.col("p"), F.col("r"))).collect()]
+    assert got == [None, None, "premium is no amount", "rate is no number of 20 digits", "premium is no amount", "rate is no number of 20 digits"]
+
+
 def test_percent_of_the_smallest_premium(spark):
     df = spark.createDataFrame([(Decimal("100.00"), Decimal("0.01"))], "n decimal(18,2), d decimal(18,2)")
     percent = percent_of(F.col("n"), F.col("d"))
