@@ -6,6 +6,7 @@ join order nor the grain of the Spark plans.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import partial
 
@@ -108,26 +109,32 @@ def reconciled(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and premium of one finished feed, of its core joins and of its transactions, and what is repeated.
 
     Core rows above base rows come from repeated coverages, feed rows above core rows from repeated
-    side datasets; repeated transactions are those with more than one row in the finished feed.
+    side datasets; repeated transactions are those with more than one row in the finished feed. All are counted in
+    one execution of the feed.
     """
-    feeds, feed, premium = policy_feeds(spark, sf_dir, PERIOD), FEEDS[name], "prm_chgd_prem_amt"
-    finished = feeds.assemble(feed)
-    again = finished.groupBy("txn_hash_prem_tran_id").agg(
-        F.count(F.lit(1)).alias("n"), F.sum(premium).alias(premium)
+    accounts = policy_feeds(spark, sf_dir, PERIOD).accounts(FEEDS[name])
+    again, nothing = F.col("feed_rows") > 1, F.lit(0).cast("bigint")
+    stages = ("feed", "core", "base")
+    sums = [F.sum(f"{s}_{m}").alias(f"{s}_{m}") for s in stages for m in ("rows", "premium")]
+    totals = accounts.agg(
+        *sums, F.count_if(again).alias("repeated_rows"), F.sum(F.when(again, F.col("feed_premium"))).alias("repeated_premium")
     )
-    stages = {
-        "feed": finished,
-        "core": feeds.core(feed),
-        "base": feeds.transactions(feed),
-        "repeated": again.filter("n > 1"),
-    }
     rows = [
-        df.agg(F.count(F.lit(1)).alias("row_count"), F.sum(premium).alias("premium")).select(
-            F.lit(stage).alias("stage"), "row_count", F.col("premium").cast("double").alias("premium")
+        F.struct(
+            F.lit(s).alias("stage"),
+            F.coalesce(f"{s}_rows", nothing).alias("row_count"),
+            F.col(f"{s}_premium").cast("double").alias("premium"),
         )
-        for stage, df in stages.items()
+        for s in (*stages, "repeated")
     ]
-    return comparable(union_by_name(rows))
+    return comparable(totals.select(F.inline(F.array(*rows))))
+
+
+def fan_out(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions with several rows in a finished feed, and the side datasets that multiplied them."""
+    accounts = policy_feeds(spark, sf_dir, PERIOD).accounts(FEEDS[name])
+    rows = accounts.filter("feed_rows > 1")
+    return comparable(rows.select("txn_hash_prem_tran_id", F.col("feed_rows").alias("row_count"), "culprits"))
 
 
 def repeated_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -615,6 +622,55 @@ UNION ALL SELECT 'repeated', {total}
   FROM (SELECT id, sum(amount) AS amount FROM ({rows}) GROUP BY id HAVING count(*) > 1)""")
 
 
+#: Alias in the SQL to the tag of the side dataset, and the aliases that its join hangs on besides the transaction.
+_SIDES = {
+    "t": ("txn", ""), "p": ("prm", ""), "h": ("hub", "t"), "d": ("pol", "th"), "c": ("lnk", "t"), "v": ("cov", "tc"),
+    "ded": ("ded", "tc"), "u": ("bur", "tc"), "clm": ("clm", "tc"), "m": ("cms", "tp"), "q": ("pct", "tp"),
+    "i": ("insr", "th"), "k": ("comp", "thd"), "s": ("insd", "th"), "n": ("src", "th"), "a": ("adr", "th"),
+    "lim": ("lim", "th"), "r": ("prod", "th"), "g": ("cvg", "t"), "o": ("prop", "t"), "st": ("st", "t"),
+    "b": ("lob", "t"), "e": ("iso", "t"), "ex": ("exp", "t"), "mod": ("mod", "t"),
+}
+
+
+def _with_row_numbers(source: str) -> tuple[str, list[str]]:
+    """A FROM clause whose sources, at its own level, have a number per row in `rid`; and their aliases."""
+    out, aliases, at, depth = [], [], 0, 0
+    word = re.compile(r"\(|\)|(?<!DISTINCT )\b(?:FROM|JOIN)\s+")
+    while m := word.search(source, at):
+        out.append(source[at : m.end()])
+        at = m.end()
+        if m[0] in "()":
+            depth += 1 if m[0] == "(" else -1
+        elif depth == 0:
+            end, inner = at, 0
+            while inner or not source[end].isspace():
+                inner += {"(": 1, ")": -1}.get(source[end], 0)
+                end += 1
+            alias = re.compile(r"\s+(\w+)").match(source, end)
+            out.append(f"(SELECT *, row_number() OVER () AS rid FROM {source[at:end]})")
+            aliases.append(alias[1])
+            at = end
+    return "".join([*out, source[at:]]), aliases
+
+
+def fan_out_sql(name: str) -> str:
+    """A side is a culprit if a transaction's rows hold several of its rows below one row of what it hangs on."""
+    finished = _policy_select(name, True)
+    rest = finished[finished.index("\nFROM hub_plcy h") :]
+    rest, aliases = _with_row_numbers(rest)
+    tags = {a: ("trty", "t") if (name, a) == ("esl", "y") else ("agy", "thd") if a == "y" else _SIDES[a] for a in aliases}
+    held = ", ".join(f"{a}.rid AS {a}" for a in aliases)
+    culprits = "\nUNION ALL ".join(
+        f"SELECT DISTINCT id, '{tag}' AS tag FROM held GROUP BY {', '.join(['id', *above])} HAVING count(DISTINCT {a}) > 1"
+        for a, (tag, above) in tags.items()
+    )
+    return _tables_of(f"""SELECT id AS txn_hash_prem_tran_id, row_count, coalesce(culprits, '') AS culprits FROM
+  (WITH held AS MATERIALIZED (SELECT t.hash_prem_tran_id AS id, {held} {rest})
+   SELECT n.id, n.row_count, c.culprits FROM (SELECT id, count(*) AS row_count FROM held GROUP BY id HAVING count(*) > 1) n
+   LEFT JOIN (SELECT id, string_agg(tag, ',' ORDER BY tag) AS culprits FROM ({culprits}) GROUP BY id) c
+     ON n.id IS NOT DISTINCT FROM c.id)""")
+
+
 def repeated_sql() -> str:
     return _tables_of(f"""SELECT t.hash_prem_tran_id AS txn_hash_prem_tran_id,
   c.hash_plcy_cvrg_id AS lnk_hash_plcy_cvrg_id,
@@ -824,6 +880,7 @@ QUERIES = {
     "formatted_extract": formatted_feed,
     "reconcile_counts": reconciled_feed,
     **{f"reconcile_{n}": partial(reconciled, n) for n in FEEDS},
+    **{f"fan_out_{n}": partial(fan_out, n) for n in FEEDS},
     "feed_duplicates": repeated_transactions,
     "run_audit": feed_audit,
     "spot_check": feed_spot_check,
@@ -844,6 +901,7 @@ ORACLES = {
     "formatted_extract": formatted_sql(),
     "reconcile_counts": reconcile_sql(),
     **{f"reconcile_{n}": reconciled_sql(n) for n in FEEDS},
+    **{f"fan_out_{n}": fan_out_sql(n) for n in FEEDS},
     "feed_duplicates": repeated_sql(),
     "run_audit": audit_sql(),
     "spot_check": spot_check_sql(),

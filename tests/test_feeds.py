@@ -1,6 +1,7 @@
 """Properties of whole feeds that do not need a second engine."""
 
 import json
+import os
 
 import pytest
 from conftest import rows
@@ -8,6 +9,8 @@ from pyspark.sql import functions as F
 
 from checks import feeds
 from checks.warehouse import warehouse
+from vaultfeed import __main__ as job
+from vaultfeed.operators.quality import Watch, run_audit
 from vaultfeed.plans import columns, extract
 from vaultfeed.plans.claims import BRANCHES, ClaimFeeds, claim_slice
 from vaultfeed.plans.parts import FAMILIES, Parts
@@ -130,6 +133,70 @@ def test_empty_and_failed_runs_are_audited(spark, parts, monkeypatch):
     assert (failed["status"], failed["message"]) == ("failed", "no such table")
 
 
+def test_a_failed_rerun_leaves_the_earlier_extract_whole(spark, parts, monkeypatch):
+    out = scratch_path(spark, "run")
+    again = lambda: extract.run(spark, parts, out, 36, "20010101", "Majesco", formats=("csv", "json"))
+    written = again()
+    before = rows(spark.read.json(f"{written['policies']}/json"))
+
+    def full(*_, **__):
+        raise OSError("no space left")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(extract, "write_json_lines", full)
+        with pytest.raises(OSError, match="no space"):
+            again()
+    assert rows(spark.read.json(f"{written['policies']}/json")) == before != []
+    assert [r["status"] for r in spark.read.parquet(f"{out}/audit/policies").collect()] == ["failed"]
+    assert sorted(os.listdir(out)) == ["Majesco_20010101_36", "audit"]
+    # A run that died between its two moves is mended by the next one.
+    folder = written["policies"].removesuffix("/policies")
+    os.rename(folder, f"{folder}.previous")
+    again()
+    assert rows(spark.read.json(f"{written['policies']}/json")) == before
+    assert sorted(os.listdir(out)) == ["Majesco_20010101_36", "audit"]
+
+
+def test_a_watched_write_equals_the_audit_query(spark, parts):
+    feed = PolicyFeeds(parts, feeds.PERIOD).union(["majesco", "prwins"])
+    named = "Changed Premium Amount", "Transaction Date"
+    watch = Watch("Source System Code", ["109", "217", "none"], *named)
+    stored = extract.export(feed, scratch_path(spark, "watched"), (), None)
+    watch.over(feed).write.format("noop").mode("overwrite").save()
+    found = {r[0]: (r[1], r[2], str(r[3])) for r in watch.audit(feed, "d").collect()}
+    query = run_audit(stored, ["SourceSystemCode"], "ChangedPremiumAmount", "TransactionDate", "d")
+    assert found.pop("none") == (0, None, "None")
+    assert found == {r[0]: (r[1], r[2], str(r[3])) for r in query.collect()} and len(found) == 2
+    watch = Watch("Source System Code", ["109"], *named)
+    watch.over(feed).write.format("noop").mode("overwrite").save()
+    assert {r[0] for r in watch.audit(feed, "d").collect()} == {"109", None}
+
+
+def test_planted_repeats_name_their_join(spark, parts):
+    """Rows that are written twice into a side table are found as the culprit of each transaction they multiply."""
+    feed, before = FEEDS["prwins"], PolicyFeeds(parts).accounts(FEEDS["prwins"])
+    clean = {r[0] for r in before.filter("feed_rows = 1").collect()}
+    tables = {name: parts[name] for name in parts.warehouse}
+    for table, tag in (("sat_ins_obj_prop", "prop"), ("sat_cvrg_dtl", "cvg"), ("sat_plcy_dtl", "pol"), ("sat_prem", "prm")):
+        planted = parts.over(Warehouse.frames({**tables, table: tables[table].union(tables[table])}))
+        found = PolicyFeeds(planted).accounts(feed).filter("feed_rows > 1").collect()
+        named = {r["culprits"] for r in found if r[0] in clean}
+        assert named == {tag}, table
+        assert all(r["base_rows"] == (2 if tag == "prm" else 1) and r["feed_rows"] == 2 for r in found if r[0] in clean)
+
+
+def test_the_job(spark, parts, capsys):
+    root, out = scratch_path(spark, "lake"), scratch_path(spark, "run")
+    for name in parts.warehouse:
+        parts[name].write.parquet(f"{root}/ADV_DB/{name}")
+    written = job.main(["--root", root, "--out", out, "--months", "36", "--batch-date", "20010101", "--source", "XM", "--formats", "csv"])
+    assert capsys.readouterr().out == f"policies\t{written['policies']}\n"
+    count = spark.read.parquet(f"{written['policies']}/parquet").count()
+    assert count == PolicyFeeds(parts, feeds.PERIOD).build("xm").count() > 0
+    with pytest.raises(SystemExit):
+        job.arguments(["--root", root])
+
+
 def test_run_rejects_unknown_source_and_date(spark, parts):
     for source, batch in (("Nobody", "20010101"), ("Gain", "2001")):
         with pytest.raises(ValueError):

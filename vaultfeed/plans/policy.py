@@ -9,11 +9,11 @@ is attached to them.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import date
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultfeed.functions import codes
@@ -246,6 +246,25 @@ class PolicyFeeds:
     parts: Parts
     period: Period | None = None
     feeds: Mapping[str, Feed] = field(default_factory=lambda: FEEDS)
+    #: Keep what was joined countable: see ``traced``.
+    trace: bool = False
+
+    def _numbered(
+        self, part: DataFrame, tag: str, names: Sequence[str], null_safe: bool = False
+    ) -> DataFrame:
+        """When tracing, ``row_<tag>`` numbers the rows of a part that share a join key, from 1.
+
+        The window asks for the partitioning that the join asks for, so it adds no shuffle to a plain join. Rows that
+        a plain join cannot match are left out first, so null keys do not meet in one task.
+        """
+        if not self.trace:
+            return part
+        keys = [F.col(f"{tag}_{n}") for n in names]
+        if not null_safe:
+            part = part.filter(reduce(lambda a, b: a & b, [k.isNotNull() for k in keys]))
+        return part.withColumn(
+            f"row_{tag}", F.row_number().over(Window.partitionBy(*keys).orderBy(F.lit(0)))
+        )
 
     # Policy grain.
 
@@ -266,15 +285,17 @@ class PolicyFeeds:
         if feed.products:
             detail = detail.filter(F.col("pol_prod_cd").isin(*feed.products))
         frame = spread_join(
-            tagged(hub, "hub", ["hash_plcy_id", "rec_src_nm"]),
-            detail,
+            self._numbered(
+                tagged(hub, "hub", ["hash_plcy_id", "rec_src_nm"]), "hub", ["hash_plcy_id"], feed.null_safe
+            ),
+            self._numbered(detail, "pol", ["hash_plcy_id"], feed.null_safe),
             [(key, "pol_hash_plcy_id")],
             "inner",
             feed.null_safe,
         )
 
         def attach(frame: DataFrame, part: DataFrame, prefix: str, null_safe=False) -> DataFrame:
-            right = tagged(part, prefix)
+            right = self._numbered(tagged(part, prefix), prefix, ["hash_plcy_id"], null_safe)
             return spread_join(frame, right, [(key, f"{prefix}_hash_plcy_id")], "left", null_safe)
 
         if feed.insurer == "latest":
@@ -290,18 +311,19 @@ class PolicyFeeds:
         if feed.producer:
             frame = attach(frame, parts.producers(feed.source), "prod")
         if feed.insurer == "company":
-            companies = tagged(parts.companies(), "comp")
+            companies = self._numbered(tagged(parts.companies(), "comp"), "comp", ["Company_Code"])
             frame = lookup_join(frame, companies, [("pol_co_nbr", "comp_Company_Code")])
         if feed.agency:
             number = codes.join_number(F.col("pol_prodr_nbr"))
             frame = frame.withColumn("pol_agency_number", number).withColumn(
                 "pol_agency_nbr", number.cast("string")
             )
-            agencies = tagged(parts.agencies(), "agy")
+            agencies = self._numbered(tagged(parts.agencies(), "agy"), "agy", ["acct_number"])
             frame = lookup_join(frame, agencies, [("pol_agency_number", "agy_acct_number")])
         if feed.source_name:
             return frame.withColumn("src_cd_shrt_desc", F.lit(feed.source_name))
         names = tagged(parts.source_names(), "src").filter(F.col("src_cd_val") == feed.source)
+        names = self._numbered(names, "src", ["cd_val"])
         return lookup_join(frame, names, [("hub_rec_src_nm", "src_cd_val")])
 
     # Coverage grain.
@@ -315,15 +337,19 @@ class PolicyFeeds:
         own, by_policy = self._own_policies(feed), [("hash_plcy_id", "hash_plcy_id")]
         link = restrict_to(link, own, by_policy, feed.null_safe)
         if feed.newest_coverage:
-            order = newest_first("btch_dt", "hash_plcy_cvrg_id")
-            link = latest_per_key(link, feed.coverage_keys, order)
+            if not self.trace:  # the core counts every coverage
+                order = newest_first("btch_dt", "hash_plcy_cvrg_id")
+                link = latest_per_key(link, feed.coverage_keys, order)
             order = newest_first("btch_dt", *sorted(set(detail.columns) - {"btch_dt"}))
             detail = latest_per_key(detail, ["hash_plcy_cvrg_id"], order)
         of_link = link.select("hash_plcy_cvrg_id")
+        if self.trace and feed.coverage_required:
+            link = restrict_to(link, detail, [("hash_plcy_cvrg_id", "hash_plcy_cvrg_id")])
         link = tagged(link, "lnk", ["hash_plcy_cvrg_id", *feed.coverage_keys])
+        link = self._numbered(link, "lnk", feed.coverage_keys, feed.null_safe)
 
         def attach(frame: DataFrame, part: DataFrame, prefix: str, how="left") -> DataFrame:
-            right = tagged(part, prefix)
+            right = self._numbered(tagged(part, prefix), prefix, ["hash_plcy_cvrg_id"])
             return spread_join(frame, right, [(key, f"{prefix}_hash_plcy_cvrg_id")], how)
 
         frame = attach(link, detail, "cov", "inner" if feed.coverage_required else "left")
@@ -350,9 +376,8 @@ class PolicyFeeds:
         def attach(frame, part, tag, names, hot_name, null_safe=False):
             pairs = [(f"{prefix}_{n}", f"{tag}_{n}") for n in names]
             row_id = [f"{prefix}_hash_prem_tran_id"] if prefix == "txn" else []
-            return spread_join(
-                frame, tagged(part, tag), pairs, "left", null_safe, hot.get(hot_name), row_id
-            )
+            right = self._numbered(tagged(part, tag), tag, names, null_safe)
+            return spread_join(frame, right, pairs, "left", null_safe, hot.get(hot_name), row_id)
 
         if feed.commission != "coverage":
             frame = attach(frame, parts["sat_cvrg_dtl"], "cvg", ["hash_cvrg_id"], "coverage")
@@ -371,7 +396,7 @@ class PolicyFeeds:
             frame = attach(frame, parts.lob_exposures(own), "exp", policy_lob, "policy_lob", True)
             frame = attach(frame, parts.schedule_modifiers(), "mod", ["ref_id"], "reference")
         if feed.state_names:
-            states = tagged(parts.states_with_name(), "st")
+            states = self._numbered(tagged(parts.states_with_name(), "st"), "st", ["CDKEY3"])
             frame = lookup_join(
                 frame, states, [(f"{prefix}_st_prvnc_cd", "st_CDKEY3")], hot=hot.get("state")
             )
@@ -385,22 +410,27 @@ class PolicyFeeds:
         link = parts["lnk_prem_tran"].filter(F.col("tran_tp_cd").isin(*feed.types))
         if not feed.null_safe:
             link = blank_filled(link)
-        link = tagged(link, "txn")
+        link = self._numbered(tagged(link, "txn"), "txn", ["hash_prem_tran_id"], null_safe=True)
         premium = tagged(parts["sat_prem"], "prm")
         own = tagged(self._own_policies(feed), "own")
         is_own = [("txn_hash_plcy_id", "own_hash_plcy_id")]
         by_id = on("txn", "prm", "hash_prem_tran_id")
+        no_binder = F.coalesce("prm_bndr_flg", F.lit("N")) == "N"
         hot = parts.hot_transactions(blank=not feed.null_safe).get("policy")
         by_row = ["txn_hash_prem_tran_id"]
         if self.period:
             premium = premium.filter(text_in_range(F.col("prm_acctg_yr_mo_txt"), *self.period))
+            if feed.skip_binders:
+                premium = premium.filter(no_binder)
+            premium = self._numbered(premium, "prm", ["hash_prem_tran_id"])
             frame = spread_join(link, premium, by_id, "inner")
             frame = restrict_to(frame, own, is_own, feed.null_safe, hot, by_row)
         else:
             link = restrict_to(link, own, is_own, feed.null_safe, hot, by_row)
+            premium = self._numbered(premium, "prm", ["hash_prem_tran_id"])
             frame = spread_join(link, premium, by_id)
-        if feed.skip_binders:
-            frame = frame.filter(F.coalesce("prm_bndr_flg", F.lit("N")) == "N")
+            if feed.skip_binders:
+                frame = frame.filter(no_binder)
         if feed.one_per_reference:
             order = newest_first("txn_btch_dt", "txn_hash_prem_tran_id")
             frame = latest_per_key(frame, ["txn_hash_plcy_id", "txn_ref_id"], order)
@@ -416,9 +446,11 @@ class PolicyFeeds:
         )
         if feed.commission == "transaction":
             rows = parts["sat_cmsn"].select("hash_prem_tran_id", "cmsn_pct", "cmsn_amt")
-            return spread_join(frame, tagged(rows, "cms"), on("txn", "cms", "hash_prem_tran_id"))
+            rows = self._numbered(tagged(rows, "cms"), "cms", ["hash_prem_tran_id"])
+            return spread_join(frame, rows, on("txn", "cms", "hash_prem_tran_id"))
         if feed.commission == "policy_revision":
             rows = tagged(parts.policy_revision_commission(feed.source), "cms")
+            rows = self._numbered(rows, "cms", ["hash_plcy_id", "endrsmt_revsn_nbr"], null_safe=True)
             pairs = [
                 ("txn_hash_plcy_id", "cms_hash_plcy_id"),
                 ("prm_endrsmt_revsn_nbr", "cms_endrsmt_revsn_nbr"),
@@ -428,17 +460,18 @@ class PolicyFeeds:
             rows = parts.coverage_commission(feed.source)
             keys = ["hash_plcy_id", "hash_lob_id", "hash_cvrg_id", "ref_id"]
             rows = latest_per_key(rows, keys, newest_first("cmsn_pct", "cmsn_amt"))
-            return by_policy(frame, tagged(rows, "cms"), on("txn", "cms", *keys))
+            rows = self._numbered(tagged(rows, "cms"), "cms", keys)
+            return by_policy(frame, rows, on("txn", "cms", *keys))
         frame = frame.withColumn("prm_rf", codes.reference_root(F.col("prm_ref_id")))
         net = parts.net_commission(feed.source).withColumnRenamed("net_cmsn_amt", "cmsn_amt")
         percent = parts.commission_percent(feed.source, self.period)
 
-        def pairs(tag: str) -> list[tuple[str, str]]:
-            names = ("rf", "endrsmt_revsn_nbr", "acctg_yr_mo_txt")
-            return [("txn_hash_plcy_id", f"{tag}_hash_plcy_id"), *on("prm", tag, *names)]
-
-        frame = by_policy(frame, tagged(net, "cms"), pairs("cms"))
-        return by_policy(frame, tagged(percent, "pct"), pairs("pct"))
+        names = ("rf", "endrsmt_revsn_nbr", "acctg_yr_mo_txt")
+        for part, tag in ((net, "cms"), (percent, "pct")):
+            rows = self._numbered(tagged(part, tag), tag, ["hash_plcy_id", *names])
+            pairs = [("txn_hash_plcy_id", f"{tag}_hash_plcy_id"), *on("prm", tag, *names)]
+            frame = by_policy(frame, rows, pairs)
+        return frame
 
     def core(self, feed: Feed) -> DataFrame:
         """Transactions, premium and coverage of the source: the rows a feed must account for."""
@@ -468,7 +501,7 @@ class PolicyFeeds:
     def assemble(self, feed: Feed) -> DataFrame:
         """All joined columns of a feed under their table-tagged names."""
         hot = self.parts.hot_transactions(blank=not feed.null_safe)
-        how = "inner" if feed.coverage_required else "left"
+        how = "inner" if feed.coverage_required and not self.trace else "left"
         frame = self._with_commission(self.transactions(feed), feed)
         frame = self._join_coverages(frame, self.coverages(feed), feed, how)
         if not feed.coverage_required:
@@ -477,18 +510,60 @@ class PolicyFeeds:
             frame,
             self.policies(feed),
             [("txn_hash_plcy_id", "hub_hash_plcy_id")],
-            "inner",
+            "left" if self.trace else "inner",
             feed.null_safe,
             hot.get("policy"),
             ["txn_hash_prem_tran_id"],
         )
-        if feed.one_per_reference:
+        if feed.one_per_reference and not self.trace:
             # The grain is asked of the finished rows: side tables may repeat what they describe.
             first = ["txn_btch_dt", "txn_hash_prem_tran_id", "prop_prpty_loc_nbr"]
             order = newest_first(*first, *sorted(set(frame.columns) - set(first)))
             frame = latest_per_key(frame, ["txn_hash_plcy_id", "txn_ref_id"], order)
         return frame
 
+    # Accounting for the rows of a finished feed.
+
+    def traced(self, feed: Feed) -> DataFrame:
+        """The joined rows of a feed with ``row_<tag>`` per join, and whether each stands for a row of three stages.
+
+        ``in_base`` marks one row of each transaction with premium, ``in_core`` one of each such transaction and
+        coverage, ``in_feed`` the rows that the finished feed has. So one execution counts all stages, and a
+        transaction with several rows names the joins that multiplied it: those with a number above 1.
+        """
+        frame = replace(self, trace=True).assemble(feed)
+        sides = [c for c in columns_with_prefix(frame, "row_") if c not in ("row_txn", "row_prm")]
+
+        def first(names: Sequence[str]) -> Column:
+            return reduce(lambda a, b: a & b, [F.coalesce(n, F.lit(1)) == 1 for n in names])
+
+        covered = F.col("row_lnk").isNotNull() if feed.coverage_required else F.lit(True)
+        finished = covered & F.col("row_hub").isNotNull()
+        if feed.one_per_reference:  # the transactions are one per reference, and so is the feed
+            finished = finished & first(sides)
+        return frame.withColumns(
+            {
+                "in_base": first(sides),
+                "in_core": covered & first([c for c in sides if c != "row_lnk"]),
+                "in_feed": finished,
+            }
+        )
+
+    def accounts(self, feed: Feed) -> DataFrame:
+        """Per transaction: rows and premium in each stage, and ``culprits``, the joins that multiplied it, by tag."""
+        frame, premium = self.traced(feed), F.col("prm_chgd_prem_amt")
+        tags = sorted(c.removeprefix("row_") for c in columns_with_prefix(frame, "row_"))
+        measures = [F.max(F.when(F.col("in_feed"), F.col(f"row_{t}"))).alias(f"row_{t}") for t in tags]
+        for stage in ("base", "core", "feed"):
+            inside = F.col(f"in_{stage}")
+            measures.append(F.count_if(inside).alias(f"{stage}_rows"))
+            measures.append(F.sum(F.when(inside, premium)).alias(f"{stage}_premium"))
+        per = frame.groupBy("txn_hash_prem_tran_id").agg(*measures)
+        named = F.array_compact(F.array(*[F.when(F.col(f"row_{t}") > 1, F.lit(t)) for t in tags]))
+        culprits = F.when(F.col("feed_rows") > 1, F.array_join(named, ",")).alias("culprits")
+        stages = [f"{s}_{m}" for s in ("base", "core", "feed") for m in ("rows", "premium")]
+        return per.select("txn_hash_prem_tran_id", *stages, culprits)
+
     # Output.
 
     def build(self, name: str, flags: bool = False) -> DataFrame:

@@ -3,6 +3,8 @@
 from vaultfeed.sources.lookups import json_lookup, json_number
 from vaultfeed.sources.sinks import (
     append_audit,
+    discard,
+    publish,
     read_csv,
     scratch_path,
     write_csv,
@@ -16,8 +18,10 @@ __all__ = [
     "Warehouse",
     "append_audit",
     "current_rows",
+    "discard",
     "json_lookup",
     "json_number",
+    "publish",
     "read_csv",
     "scratch_path",
     "write_csv",

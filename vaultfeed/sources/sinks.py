@@ -69,6 +69,40 @@ def write_envelopes(
     )
 
 
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, and a function that makes its paths."""
+    jvm = spark.sparkContext._jvm
+    to_path = jvm.org.apache.hadoop.fs.Path
+    return to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), to_path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this run has made, if it is there."""
+    files, to_path = _store(spark, path)
+    files.delete(to_path(path), True)
+
+
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put a finished folder in the place of an earlier one, which stays whole until then.
+
+    The earlier folder is moved aside and removed last. If a run dies between the two moves, the next one puts the
+    earlier folder back before it goes on.
+    """
+    files, to_path = _store(spark, path)
+    here, new, before = to_path(path), to_path(staged), to_path(f"{path}.previous")
+    if files.exists(before):
+        if files.exists(here):
+            files.delete(before, True)
+        else:
+            files.rename(before, here)
+    if files.exists(here) and not files.rename(here, before):
+        raise OSError(f"{path} cannot be moved aside")
+    if not files.rename(new, here):
+        files.rename(before, here)
+        raise OSError(f"{staged} cannot be moved to {path}")
+    files.delete(before, True)
+
+
 def append_audit(audit: DataFrame, path: str) -> None:
     """Add the counts of one run to the table that keeps all runs."""
     audit.write.mode("append").parquet(path)
