@@ -10,7 +10,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
@@ -168,26 +168,26 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """node, root for every node of the undirected edges; root: the smallest node that can be reached.
 
     Alternates two steps over the edges until nothing changes: each node's larger neighbours, then its smaller
-    ones, are linked to the smallest neighbour. Every round is four written tables; the driver only sees two sums.
-    The least neighbours are tables of their own, so that a join with a node of very many neighbours can be split.
+    ones, are linked to the smallest neighbour. A round writes two tables; the driver only sees a count and two sums,
+    observed while the edges are written. The least neighbours are a table of their own, so that a join with a node of
+    very many neighbours can be split.
     """
-    def state(pair: DataFrame):
-        return pair.agg(F.count("*"), F.count_distinct("hi"), F.sum(F.xxhash64("lo", "hi") % 1_000_003)).first()
 
-    pair = edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")).where("lo < hi").distinct()
-    pair = written(pair, "edges")
-    before = state(pair)
+    def stored(pair: DataFrame) -> tuple[DataFrame, tuple]:
+        seen, h = Observation(), F.xxhash64("lo", "hi")
+        pair = pair.where("lo < hi").distinct().observe(seen, F.count("*").alias("n"), F.sum(h % 1_000_003).alias("sum"), F.bit_xor(h).alias("xor"))
+        pair = written(pair, "edges")
+        return pair, tuple(seen.get[k] for k in ("n", "sum", "xor"))
+
+    pair, before = stored(edges.select(F.least(a, b).alias("lo"), F.greatest(a, b).alias("hi")))
     while before[0]:
         both = pair.union(pair.select("hi", "lo")).toDF("u", "v")
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        least = written(least, "least")
-        large = both.where("v > u").join(least, "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
-        large = written(large, "large")
-        down = written(large.groupBy("hi").agg(F.min("lo").alias("m")), "down")
+        large = both.where("v > u").join(written(least, "least"), "u").select(F.col("m").alias("lo"), F.col("v").alias("hi")).distinct()
+        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(down, "hi").select("m", F.explode(F.array("lo", "hi")).alias("hi"))
-        pair = written(small.select(F.col("m").alias("lo"), "hi").where("lo < hi").distinct(), "edges")
-        now = state(pair)
-        if now == before and now[0] == now[1]:
+        pair, now = stored(small.select(F.col("m").alias("lo"), "hi"))
+        if now == before:
             break
         before = now
     roots = pair.select(F.col("hi").alias("node"), F.col("lo").alias("root"))

@@ -133,13 +133,13 @@ def groups(described_docs: DataFrame, rule: Rule) -> DataFrame:
     reps = written(reps.withColumn("rep", F.monotonically_increasing_id()), "sets")
     pair = F.shiftleft(F.col("k").cast("long"), 32) + F.col("value").cast("long")
     posts = reps.select("rep", F.posexplode("signature").alias("k", "value")).select("rep", pair.alias("post"))
-    # Lists are tables of their own, so that Spark knows their size and can split a join with a very long one.
+    # Lists are tables of their own, so that Spark can split a join with a very long one, and are joined alike at every size.
     length = written(posts.groupBy("post").agg(F.count("*").alias("n")).where("n > 1"), "lengths")
-    shared = posts.join(length, "post").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("lists"))
+    shared = posts.join(length.hint("merge"), "post").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("n", "post"))).alias("lists"))
     use = F.greatest(F.lit(0), F.size("lists") - (COORDINATES - rule.prefix))
     first = written(shared.select("rep", F.explode(F.slice("lists", 1, use)).alias("list")).select("rep", "list.post"), "prefixes")
     lists = first.groupBy("post").agg(F.min("rep").alias("least"), F.count("*").alias("n")).where("n > 1").drop("n")
-    pairs = first.join(written(lists, "lists"), "post").where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
+    pairs = first.join(written(lists, "lists").hint("merge"), "post").where("rep <> least").select(F.col("least").alias("a"), F.col("rep").alias("b"))
     return components(pairs).withColumnRenamed("node", "rep").join(reps.drop("signature"), "rep").select("doc_id", "n_bytes", "root")
 
 
