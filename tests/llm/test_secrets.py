@@ -1,5 +1,10 @@
+import math
 import re
+import time
+import tracemalloc
+from collections import Counter
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -104,3 +109,110 @@ def test_query(spark, sf, documents):
 
 def test_long_lines_take_linear_time():
     secrets.spans("a" * 300_000 + "." * 300_000 + "token" + "-x" * 100_000 + "'" * 100_000)
+
+
+def timed(text):
+    start = time.perf_counter()
+    found = secrets.spans(text)
+    assert time.perf_counter() - start < 10
+    return found
+
+
+def test_doubling_constants_take_linear_time_and_memory():
+    doubled = 'token = "aB3xkQ9z"\n' + "a = token + token\n" + "a = a + a\n" * 40 + "client_secret = a\n"
+    tracemalloc.start()
+    assert [doubled[a:b] for k, a, b, _ in timed(doubled) if k == "literal"] == []  # the base pattern has it
+    assert [s[0] for s in secrets.spans(doubled)] == ["assign"]
+    named = 'seed = "aB3xkQ9z"\n' + "a = seed\n" + "a = a + a\n" * 30_000 + "client_secret = a\n"
+    assert [named[a:b] for k, a, b, _ in timed(named) if k == "literal"] == ["aB3xkQ9z"]
+    assert tracemalloc.get_traced_memory()[1] < 400 << 20
+    tracemalloc.stop()
+
+
+def test_long_chains_take_linear_time():
+    pieces = [f"aB3x{k:05}" for k in range(60_000)]
+    chain = "client_secret = " + " + ".join(f'"{p}"' for p in pieces)
+    assert sum(k == "literal" for k, *_ in timed(chain)) == len(pieces) - 1  # the first one is a base finding
+    steps = 'client_secret = "aB3xkQ9z"\n' + "".join(f'client_secret = client_secret + "{p}"\n' for p in pieces[:20_000])
+    assert sum(k == "literal" for k, *_ in timed(steps)) == 20_000
+    wide = 'x = "aB3xkQ9z"\n' + "".join(f'x = x + "{chr(0x4E00 + k % 20000)}"\n' for k in range(30_000)) + "client_secret = x\n"
+    timed(wide)
+    timed("token <a><b " * 50_000 + "a: |\n  b: |\n" * 20_000 + "name='a' value=" * 20_000 + "set(" * 50_000 + 'token("' * 50_000)
+
+
+SECRET = "zK8pQ2mN4vX7"
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        f"<client_secret>{SECRET}</client_secret>",
+        f'<add key="db_password_" value="{SECRET}"/>',
+        f"<property name='credential' value='{SECRET}' />",
+        f'client_secret = """{SECRET}"""',
+        f"client_secret = f'{SECRET}'",
+        f'client_secret = b"{SECRET}"',
+        f'client_secret =\n    "{SECRET}"',
+        f'client_secret = \\\n    "{SECRET}"',
+        f"client_secret: |\n  {SECRET}\nother: x",
+        f"- client_secret: >-\n    {SECRET}\n  other: x",
+        f'define("DB_CREDENTIAL", "{SECRET}");',
+        f'config.setClientSecret("{SECRET}")',
+        f"os.environ.setdefault('CLIENT_SECRET', '{SECRET}')",
+        f'headers.put("bearer", "{SECRET}");',
+        f'KEY = "{SECRET}"\nobj.set_private_key("" + KEY)',
+        f'client_secret: Map<String, Pair<{"A" * 200}, B>> = "{SECRET}"',
+    ],
+)
+def test_syntax_that_gives_a_name_its_literal(text):
+    assert literals(text) == [SECRET]
+    assert literals(text.lower().replace("secret", "colour").replace("credential", "b").replace("password", "b").replace("bearer", "b").replace("private_key", "b") + " token") == []
+
+
+def test_adjacent_and_split_strings():
+    assert literals('client_secret = ("zK8pQ2" \n "mN4vX7")') == ["zK8pQ2", "mN4vX7"]
+    assert literals('client_secret = "zK8pQ2" +\n  "mN4vX7"') == ["zK8pQ2", "mN4vX7"]
+    assert literals("client_secret: |\n  zK8pQ2mN\n  4vX7aB3x\n\nb: c") == ["zK8pQ2mN", "4vX7aB3x"]
+    assert literals('f("zK8pQ2mN4vX7")\nset("x", "zK8pQ2mN4vX7") # token') == []
+
+
+#: Assignments by a small grammar: what a program of them gives to its sensitive names, worked out by copying texts.
+NAMES = ["colour", "other", "client_secret", "passphrase"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(NAMES), st.lists(st.integers(-6, 3), min_size=1, max_size=3)), max_size=8))
+def test_literals_equal_a_brute_force_interpreter(program):
+    """Each line gives a name a sum of literals (by number below 0) and of names; unset names are words themselves."""
+    lines, values, want, at = [], {}, {}, 0
+    for name, operands in program:
+        line, value, places = f"{name} = ", "", []
+        for k, o in enumerate(operands):
+            line += " + " if k else ""
+            if o < 0:
+                text = ["aB3$xkQ9", "qwhzktpl", "x1", "Zz 9 yY7 qq", "changeme", ""][-o - 1]
+                line += f'"{text}"'
+                value, places = value + text, [*places, (at + len(line) - 1 - len(text), at + len(line) - 1)]
+            elif NAMES[o] in values:
+                line += NAMES[o]
+                value, places = value + values[NAMES[o]][0], [*places, *values[NAMES[o]][1]]
+            else:
+                line += NAMES[o]
+                value, places = value + NAMES[o], [*places, (at + len(line) - len(NAMES[o]), at + len(line))]
+        values[name] = value, places
+        if (weight := secrets.name_weight(name)) and (score := weight * plain_weight(value)) >= secrets.THRESHOLD:
+            for p in (p for p in places if p[0] < p[1]):
+                want[p] = max(score, want.get(p, 0))
+        lines.append(line)
+        at += len(line) + 1
+    got = secrets.literals("\n".join(lines))
+    assert got.keys() == want.keys() and all(got[p] == pytest.approx(want[p]) for p in got)
+
+
+def plain_weight(value):
+    """For names of weight 1, from the value's whole text."""
+    if len(value) < 8 or value.startswith("changeme"):
+        return 0.0
+    entropy = -sum(n / len(value) * math.log2(n / len(value)) for n in Counter(value).values())
+    kinds = sum(any(f(c) for c in value) for f in (lambda c: "a" <= c <= "z", lambda c: "A" <= c <= "Z", str.isdigit, lambda c: not (c.isalnum() or c == "_")))
+    return min(1.0, len(value) / 12) * min(1.0, entropy / 4) if " " in value or kinds < 2 else min(1.0, entropy / 3)
