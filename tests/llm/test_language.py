@@ -78,3 +78,23 @@ def test_awkward_rows(spark, awkward, empty, clashing):
     assert language.judged(empty.selectExpr("*", "'a' as lang")).count() == 0
     assert language.judged(clashing.selectExpr("*", "'a' as lang")).count() == 5
     assert spark.createDataFrame([], ID_TEXT).count() == 0
+
+
+def test_copies_take_no_other_texts_place(spark):
+    """16 texts of a language, one of them 2,000 times: all of them are learned."""
+    texts = [f"text number {chr(97 + k) * 3} of the language" for k in range(16)]
+    rows = [(i, texts[i % 16 if i < 160 else 0], "en") for i in range(2160)] + [(10_000 + i, f"autre {chr(97 + i)}", "fr") for i in range(20)]
+    model = language.fit(spark.createDataFrame(rows, ID_TEXT + ", lang string"), held=False)
+    assert model.matrix.shape[1] == 16 + 20
+
+
+def test_predictions_equal_plain_kernels(spark, sf, judged, con):
+    """Every prediction from sets of n-grams and the learned weights, one text after the other."""
+    docs = queries.table(spark, sf, "documents")
+    model = language.fit(docs)
+    used = np.flatnonzero(model.slot >= 0)
+    marks = [set(used[model.matrix[:, k] > 0].tolist()) for k in range(model.matrix.shape[1])]
+    for i, text in con.sql("select doc_id, text from documents order by doc_id limit 60").fetchall():
+        own = set(language.present(text).tolist())
+        scores = np.array([len(own & m) / (len(own) * len(m)) ** 0.5 for m in marks] + [1.0]) @ model.weights if own else None
+        assert judged[i].lang_pred == ("und" if scores is None else model.languages[int(scores.argmax())])

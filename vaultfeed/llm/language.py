@@ -87,13 +87,14 @@ def held_out(doc_id: Column) -> Column:
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", held: bool = True) -> Model:
     """A model of all languages from at most PER_LANGUAGE texts of each, fewer with many languages, chosen by a hash of the text.
 
-    Only rows with a language and a text that has a letter; with held, rows that held_out() names are left out.
+    Only rows with a language and a text that has a letter, a text that repeats once; with held, rows that held_out() names are left out.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()) if held else rows
     order = Window.partitionBy("lang").orderBy("h", "doc_id")
-    light = rows.select("lang", "doc_id", F.xxhash64("text").alias("h"))
+    # Distinct texts before the rank, so that copies of one take no other's place.
+    light = rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id"))
     each = max(1, min(PER_LANGUAGE, SAMPLE // max(1, light.select("lang").distinct().count())))
     chosen = light.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each).select("h").distinct()
     wanted = [r.h for r in chosen.collect()]  # at most SAMPLE numbers, or one per language
