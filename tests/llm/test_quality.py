@@ -86,3 +86,14 @@ def test_query_on_labelled_documents(spark, con, folder):
     assert len(got) == 1000
     assert np.mean([got[i] for i, q, t in rows if q and not t]) > 0.97
     assert np.mean([got[i] for i, q, t in rows if t]) < 0.3  # a few dozen toxic documents to learn from
+
+
+def test_the_sample_is_bounded(spark, monkeypatch):
+    """One id on 3,000 rows, of two texts and of as many: at most the sample's rows reach the driver."""
+    seen = []
+    monkeypatch.setattr(quality, "solve", lambda rated: seen.append(len(rated)) or quality.Model(np.zeros(quality.SLOTS), np.zeros(2)))
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    few = [(i, f"text {i}") for i in range(40)]
+    for copies, want in (([(7, f"text {k % 2}") for k in range(3000)], 42), ([(7, f"text {k}") for k in range(3000)], 50)):
+        quality.fit(spark.createDataFrame(few + copies, ID_TEXT), labels, sample=50)
+        assert seen.pop() == want

@@ -17,7 +17,7 @@ SLOTS = 1 << 18
 PREFIXES = (4, 6, 7)
 #: Learned are slots whose log odds between the highest grade and the others are so many standard errors from 0.
 CLEAR = 3.0
-#: Bound of the labelled rows that are learned from; chosen by a hash of their text.
+#: Bound of the labelled rows that are learned from; chosen by a hash of their id.
 SAMPLE = 6000
 PENALTY, STEPS = 1e-4, 400
 #: A document is kept if the chance of the highest grade is at least this.
@@ -110,8 +110,8 @@ def values(cols: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """A model from at most `sample` labelled texts; the thresholds' number follows from the grades 0, 1 and 2.
 
-    Rows without text or without either label are not learned from; several labels of one id are all used. Without
-    any labelled row every chance is one half.
+    Rows without text or without either label are not learned from; several labels of one id are all used, equal rows
+    once. Without any labelled row every chance is one half.
     """
     graded = labels.select(F.col("doc_id"), _grade(F.col("quality"), F.col("toxic")).alias("grade")).where("grade between 0 and 2")
     rows = docs.select("doc_id", "text").where("text is not null")
@@ -126,10 +126,12 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             order = np.argsort(r, kind="stable")
             lists = np.split(c[order].astype("<i4"), np.cumsum(np.bincount(r, minlength=part.num_rows))[:-1])
             packed = pa.array([x.tobytes() for x in lists], pa.binary())
-            yield pa.RecordBatch.from_arrays([part.column("grade"), packed], names=["grade", "slots"])
+            yield pa.RecordBatch.from_arrays([*(part.column(k) for k in ("id", "h", "grade")), packed], names=["id", "h", "grade", "slots"])
 
-    joined = rows.join(F.broadcast(chosen), "doc_id").select("text", "grade")  # at most `sample` pairs of numbers
-    found = mapped(joined, run, "grade int, slots binary").collect()
+    # At most `sample` pairs of numbers are broadcast. Rows of one id and text are one; an id may still have many texts.
+    joined = rows.join(F.broadcast(chosen), "doc_id").select(F.xxhash64("doc_id").alias("id"), F.xxhash64("text").alias("h"), "grade", "text")
+    distinct = mapped(joined, run, "id long, h long, grade int, slots binary").groupBy("id", "h", "grade").agg(F.first("slots").alias("slots"))
+    found = distinct.orderBy("id", "h", "grade").limit(sample).collect()
     return solve(sorted((r.grade, bytes(r.slots)) for r in found))
 
 
@@ -219,7 +221,7 @@ def rate(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
 
 
 def select(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs that rate() would keep, with all their columns."""
+    """The rows of docs that rate() would keep, with all their columns, null and empty texts and repeated rows as there."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
