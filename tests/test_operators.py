@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta
+from functools import reduce
 from random import Random
 
 import pytest
@@ -84,6 +85,21 @@ def test_a_key_that_is_hot_by_one_of_its_columns(spark, skewed):
     assert rows(joins.spread_join(skewed, right, on, hot=hot, hot_on=["k"])) == rows(joins.spread_join(skewed, right, on))
 
 
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 18])
+def test_hot_keys_are_counted_exactly(spark, buckets):
+    """Keys just at and above the limit, among 100 times as many rows of others that share their buckets."""
+    rest = spark.range(200_000).selectExpr("id % 40000 as k", "cast(id % 3 as string) as s")
+    named = [spark.range(n).selectExpr(f"{k} as k", f"'{k}' as s") for k, n in ((-1, 900), (-2, 901), (-3, 2000))]
+    df = reduce(lambda a, b: a.union(b), [rest, *named])
+    got = joins.hot_keys(df, {"k": ["k"], "s": ["s"], "both": ["k", "s"]}, 900, buckets)
+    assert sorted(got["k"].values()) == sorted(got["both"].values()) == [2, 3]
+    assert sorted(got["s"].values()) == [2, 3, 75, 75, 75]
+    key = {r[0]: r[1] for r in df.filter("k < 0").select("k", F.xxhash64("k")).distinct().collect()}
+    assert got["k"] == {key[-2]: 2, key[-3]: 3}
+    nulls = joins.hot_keys(spark.range(50).selectExpr("nullif(id, id) as k"), {"k": ["k"]}, 10, buckets)
+    assert list(nulls["k"].values()) == [5]
+
+
 def test_hot_keys_need_a_large_table(skewed):
     assert joins.hot_keys(skewed, {"k": ["k"], "both": ["k", "i"]}) == {"k": {}, "both": {}}
 

@@ -32,27 +32,32 @@ def hot_keys(
     df: DataFrame,
     key_sets: Mapping[str, Sequence[str]],
     rows_per_task: int = ROWS_PER_TASK,
-    tracked: int = 10_000,
+    buckets: int = 1 << 18,
 ) -> dict[str, dict[int, int]]:
-    """The keys that hold more than ``rows_per_task`` rows, for each set of key columns.
+    """The keys that hold more than ``rows_per_task`` rows, exactly, for each set of key columns.
 
-    What counts as hot does not depend on the size of the table, and a key is spread over as many
-    tasks as its rows ask for. One pass over the key columns with a sketch that follows ``tracked``
-    keys; its counts are off by some rows in ``tracked`` at most, and at most that many
-    hashes per set reach the driver.
+    What counts as hot does not depend on the size of the table, and a key is spread over as many tasks as its rows ask
+    for. First rows are counted per bucket of hashed keys, which a task sends at most ``buckets`` sums of. Only rows of
+    buckets that are above the limit in all are then counted per key. In a table of n rows there are at most
+    n / rows_per_task such buckets, and such keys, for each set; no more than these reach the driver.
     """
-    sketches = [
-        F.filter(
-            F.call_function("approx_top_k", F.xxhash64(*cols), F.lit(tracked // 2), F.lit(tracked)),
-            lambda top: top["count"] > rows_per_task,
-        ).alias(name)
-        for name, cols in key_sets.items()
+    names = list(key_sets)
+    found: dict[str, dict[int, int]] = {name: {} for name in names}
+    if not names:
+        return found
+    each = [
+        F.struct(F.lit(i).alias("set"), F.xxhash64(*key_sets[n]).alias("key")) for i, n in enumerate(names)
     ]
-    row = df.agg(*sketches).first() if sketches else {}
-    return {
-        name: {top["item"]: math.ceil(top["count"] / rows_per_task) for top in row[name] or []}
-        for name in key_sets
-    }
+    keys = df.select(F.inline(F.array(*each))).withColumn("bucket", F.pmod("key", F.lit(buckets)))
+    above = F.col("count") > rows_per_task
+    full = keys.groupBy("set", "bucket").count().filter(above).select("set", "bucket").collect()
+    if full:
+        # Bounded, see above: 12 bytes for each rows_per_task rows of the table.
+        heavy = F.broadcast(df.sparkSession.createDataFrame(full, "set int, bucket long"))
+        counts = keys.join(heavy, ["set", "bucket"], "left_semi").groupBy("set", "key").count()
+        for r in counts.filter(above).collect():
+            found[names[r["set"]]][r["key"]] = math.ceil(r["count"] / rows_per_task)
+    return found
 
 
 def _salted(keys: Sequence[Column], hot: Hot, row_id: Sequence[str] | None) -> Column:
