@@ -7,14 +7,15 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import mapped, slices, written
 
 _MARK = re.compile(r"[ \t]*((?:>[ \t]?)+)")
 _SPACE = re.compile(r"\s+")
-_ATTRIBUTION = re.compile(r"(?:On .{1,200} wrote|.{1,100} (?:wrote|said)):\s*\Z", re.I)
+#: How a line that introduces a quotation ends, whatever its length.
+_ATTRIBUTION = (" wrote:", " said:")
 
 
 def parse(text: str) -> list[tuple[int, str]]:
@@ -27,7 +28,7 @@ def parse(text: str) -> list[tuple[int, str]]:
         mark = _MARK.match(line)
         level, line = (mark[1].count(">"), line[mark.end() :]) if mark else (0, line)
         if not blocks or blocks[-1][0] != level:
-            if blocks and blocks[-1][0] < level and blocks[-1][1] and _ATTRIBUTION.match(blocks[-1][1][-1].strip()):
+            if blocks and blocks[-1][0] < level and blocks[-1][1] and blocks[-1][1][-1].strip().casefold().endswith(_ATTRIBUTION):
                 blocks[-1][1].pop()
             blocks.append((level, []))
         blocks[-1][1].append(line)
@@ -158,6 +159,11 @@ def positions(rows: DataFrame, order: list[str]) -> DataFrame:
     return at.withColumn("position", F.col("_at") - F.col("_first") + F.col("_before")).drop("_at", "_part", "_conv", "_p", "_first", "_before")
 
 
+def _escaped(text: Column) -> Column:
+    """A text in which no marker of a turn stands: the bar of what looks like one is set off by a blank."""
+    return F.regexp_replace(text, r"(?i)<\|(?=\s*im_(?:start|end|sep)\b)", "< |")
+
+
 def conversations(messages: DataFrame) -> DataFrame:
     """Every message once, without quotations, with its place in the reply order of its conversation.
 
@@ -168,6 +174,7 @@ def conversations(messages: DataFrame) -> DataFrame:
     stands after the one it replies to, with the replies to it behind it; without quotations that is the order of
     turns. The text of a conversation is left to the reader or writer to join, so that none has to pass through one task.
 
+    Markers of a turn that a message or role has itself are set apart in `formatted`, so that no message can open a turn.
     A null text stays null and is formatted as empty; a message that only quotes has an empty content. Messages whose
     conv_id or turn is null, and quotations of what no earlier message of the conversation says, are not linked.
     Repeated rows are all kept and get the same link. Other columns are not looked at.
@@ -180,7 +187,8 @@ def conversations(messages: DataFrame) -> DataFrame:
     out = parsed.drop("own", "quoted").join(chain, ["conv_id", "turn"], "left")
     out = out.join(ranks(chain), ["conv_id", "turn"], "left").withColumn("thread", F.coalesce("thread", F.col("turn").cast("long")))
     out = positions(out.withColumn("rank", F.coalesce("rank", F.lit(0))), ["thread", "rank", "turn", "role", "content"])
-    text = F.concat(F.lit("<|im_start|>"), F.coalesce("role", F.lit("user")), F.lit("\n"), F.coalesce("content", F.lit("")), F.lit("<|im_end|>\n"))
+    role = F.regexp_replace(_escaped(F.coalesce("role", F.lit("user"))), r"\s+", " ")
+    text = F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), _escaped(F.coalesce("content", F.lit(""))), F.lit("<|im_end|>\n"))
     return out.select(
         "conv_id", "turn", "role", "content", "quote_levels", "reply_to",
         "thread",
