@@ -437,6 +437,9 @@ def _same(left: str, right: str, names, null_safe: bool) -> str:
     return " AND ".join(f"{left}.{n} {sign} {right}.{n}" for n in names)
 
 
+_FEED_FROM = "\nFROM (SELECT * FROM hub_plcy WHERE"
+
+
 def _from(name: str) -> str:
     feed, safe = FEEDS[name], name in ("gain", "prwins", "majesco")
     keys = {"gain": [*_KEYS, "ref_id", "st_prvnc_cd"], "prwins": [*_KEYS, "ref_id"],
@@ -486,9 +489,10 @@ def _from(name: str) -> str:
             ON {_same('t', 'ex', ['hash_plcy_id', 'hash_lob_id'], True)}
           LEFT JOIN {_MODIFIERS} mod ON t.ref_id = mod.ref_id""",
     }.get(name, "")
-    return f"""FROM hub_plcy h
+    trans = f"(SELECT * FROM {'lnk_prem_tran' if safe else _BLANK_TRAN} WHERE tran_tp_cd IN ({_in(feed.types)}))"
+    return f"""FROM (SELECT * FROM hub_plcy WHERE rec_src_nm = '{feed.source}') h
   JOIN sat_plcy_dtl d ON {_same('h', 'd', ['hash_plcy_id'], safe)}
-  LEFT JOIN {'lnk_prem_tran' if safe else _BLANK_TRAN} t
+  JOIN {trans} t
     ON {_same('h', 't', ['hash_plcy_id'], safe)}
   LEFT JOIN {links} c ON {_same('c', 't', keys, safe)}
   {'JOIN' if name == 'majesco' else 'LEFT JOIN'} {details} v
@@ -611,8 +615,7 @@ def reconciled_sql(name: str) -> str:
       JOIN sat_prem p ON t.hash_prem_tran_id = p.hash_prem_tran_id
       WHERE t.tran_tp_cd IN ({_in(feed.types)}) AND {_IN_PERIOD} {more} {last}"""
     finished = _policy_select(name, True)
-    items, _, rest = finished.partition("\nFROM hub_plcy h")
-    rows = f"SELECT t.hash_prem_tran_id AS id, p.chgd_prem_amt AS amount FROM hub_plcy h{rest}"
+    rows = f"SELECT t.hash_prem_tran_id AS id, p.chgd_prem_amt AS amount {finished[finished.index(_FEED_FROM) :]}"
     total = "count(*) AS row_count, CAST(sum(amount) AS DOUBLE) AS premium"
     return _tables_of(f"""SELECT 'feed' AS stage, {total} FROM ({rows})
 UNION ALL SELECT 'core', count(*), CAST(sum(t.chgd_prem_amt) AS DOUBLE)
@@ -656,7 +659,7 @@ def _with_row_numbers(source: str) -> tuple[str, list[str]]:
 def fan_out_sql(name: str) -> str:
     """A side is a culprit if a transaction's rows hold several of its rows below one row of what it hangs on."""
     finished = _policy_select(name, True)
-    rest = finished[finished.index("\nFROM hub_plcy h") :]
+    rest = finished[finished.index(_FEED_FROM) :]
     rest, aliases = _with_row_numbers(rest)
     tags = {a: ("trty", "t") if (name, a) == ("esl", "y") else ("agy", "thd") if a == "y" else _SIDES[a] for a in aliases}
     held = ", ".join(f"{a}.rid AS {a}" for a in aliases)

@@ -364,7 +364,7 @@ def with_tables(select: str, *names: str) -> str:
 
     for name in names or _inputs(select):
         need(name)
-    ctes = ",\n".join(f"{name} AS ({text})" for name, text in wanted.items())
+    ctes = ",\n".join(f"{name} AS MATERIALIZED ({text})" for name, text in wanted.items())
     return f"WITH {ctes}\n{select}" if wanted else select
 
 
