@@ -224,7 +224,8 @@ def links(docs: DataFrame, rule: Rule, described_docs: DataFrame, doc_id: str, t
     )
     member = written(member.select("doc_id", "n_bytes", "root", "block", others.alias("cells")), "groups")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text is not null")
-    cells = rows.join(member, "doc_id").select("doc_id", "text", "root", "block", F.explode("cells").alias("cell"))
+    # Texts are moved by the same join at every size: a broadcast of the members would only hold for small tables.
+    cells = rows.join(member.hint("merge"), "doc_id").select("doc_id", "text", "root", "block", F.explode("cells").alias("cell"))
     kind = dict(rows.dtypes)["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
