@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .common import RunHash, mapped, mix, slices
 
-MEMO_ENTRIES = 350_000
+#: Bytes of remembered pre-tokens and ids of one generation, and what an entry takes besides its own bytes.
+MEMO_BYTES, ENTRY_BYTES = 40 << 20, 160
 #: White space as the rank files' library knows it (Unicode White_Space); `\s` of other libraries has a few more.
 SPACE = r"\t-\r \x85\xa0  -     　"
 
@@ -136,7 +137,7 @@ def merge(piece: bytes, ranks: dict[bytes, int], two: list[int]) -> list[int]:
 
 
 class Encoder:
-    """Encodes texts in one Python worker; remembers at most twice MEMO_ENTRIES pre-tokens, the last used ones."""
+    """Encodes texts in one Python worker; remembers twice MEMO_BYTES of pre-tokens, the last used ones, beside those of one text."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
@@ -147,14 +148,15 @@ class Encoder:
         self.merge = partial(merge, ranks=self.ranks, two=two)
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def pieces(self, text: str) -> list[str]:
         """The pre-tokens of a text, all of them in the memo."""
         found = self.split(text)
         new = set(found).difference(self.memo)
         if new:
-            if len(self.memo) + len(new) > MEMO_ENTRIES:
-                self.memo, self.older = {}, self.memo
+            if self.held > MEMO_BYTES:
+                self.memo, self.older, self.held = {}, self.memo, 0
                 new = set(found)
             memo, older = self.memo, self.older
             memo.update((p, older[p]) for p in new if p in older)
@@ -163,6 +165,7 @@ class Encoder:
             for p, b, i in zip(miss, raw, self.vocabulary.find(raw), strict=True):
                 ids = (i,) if i >= 0 else self.merge(b)
                 memo[p] = struct.pack(f"<{len(ids)}I", *ids)
+            self.held += sum(ENTRY_BYTES + len(p) + len(memo[p]) for p in new)
         return found
 
     def encode(self, text: str) -> bytes:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -67,7 +68,20 @@ def mapped(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 out.write(source, source.relative_to(package.parent))
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
-    return df.mapInArrow(run, schema)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker process outlives its task and would else keep the most it ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library only
+    if trim:
+        trim(0)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -22,6 +22,8 @@ SAMPLE = 6000
 PENALTY, STEPS = 1e-4, 400
 #: A document is kept if the chance of the highest grade is at least this.
 KEEP = 0.5
+#: Bytes of text that are worked on at once; working arrays take some hundred times as much.
+SLICE = 1 << 20
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
@@ -121,7 +123,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     chosen = slice_.orderBy(F.xxhash64("doc_id"), "doc_id", "grade").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             r, c = features(part.column("text"))
             order = np.argsort(r, kind="stable")
             lists = np.split(c[order].astype("<i4"), np.cumsum(np.bincount(r, minlength=part.num_rows))[:-1])
@@ -211,7 +213,7 @@ def rate(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "tex
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             grade, top = _rated(part, shared.value)
             columns = [part.column("doc_id"), pa.array(grade), pa.array(top), pa.array(top >= KEEP)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "expected_grade", "p_top", "keep"])
@@ -225,7 +227,7 @@ def select(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             yield part.filter(pa.array(_rated(part, shared.value)[1] >= KEEP))
 
     return mapped(docs, run, docs.schema)
