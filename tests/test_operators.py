@@ -163,7 +163,8 @@ def test_first_value_respects_nulls_and_codes(spark):
 
 
 @pytest.mark.parametrize("unit", ["minute", "hour", "day", "year"])
-def test_previous_value_over_slices(spark, unit):
+@pytest.mark.parametrize("most", [1_000_000, 40, 16])
+def test_previous_value_over_slices(spark, unit, most):
     random = Random(3)
     start = datetime(2024, 1, 1)
     data = [
@@ -172,7 +173,7 @@ def test_previous_value_over_slices(spark, unit):
         for i in range(400)
     ] + [(400, "a", None, 3.0), (401, None, start, 4.0)]
     df = spark.createDataFrame(data, "i int, k string, t timestamp, v double")
-    got = newest.previous_value(df, ["k"], "t", ["i"], "v", "p", unit).select("i", "p")
+    got = newest.previous_value(df, ["k"], "t", ["i"], "v", "p", unit, most).select("i", "p")
     expected = []
     for key in {r[1] for r in data}:
         group = sorted(
@@ -184,6 +185,29 @@ def test_previous_value_over_slices(spark, unit):
     assert rows(got) == sorted(expected, key=str)
 
 
+def test_previous_value_cuts_a_slice_of_one_time(spark):
+    moment = F.lit("2024-01-01").cast("timestamp")
+    df = spark.range(20_000).select(
+        F.when(F.col("id") % 3 > 0, "hot").alias("k"), moment.alias("t"), F.col("id").alias("i")
+    )
+    cuts = newest._cuts(df, ["k", "t"], F.struct("t", "i"), 1_000).collect()
+    assert {r["k"] for r in cuts} == {"hot", None}
+    places = {r["k"]: [c["i"] for c in r["_cuts"]] for r in cuts}
+    assert 8 <= len(places["hot"]) <= 18 and places["hot"] == sorted(places["hot"])
+    ends = [-1, *places["hot"], 20_000]
+    assert max(b - a for a, b in zip(ends, ends[1:], strict=False)) * 2 / 3 < 2_500
+    got = newest.previous_value(df, ["k"], "t", ["i"], "i", "p", "hour", 1_000)
+    expected = [(r, None if r < 2 and r != 1 else r - 3 if r % 3 == 0 else r - (1 if r % 3 == 2 else 2)) for r in range(20_000)]
+    expected[1] = (1, None)
+    assert sorted(tuple(r) for r in got.select("i", "p").collect()) == expected
+
+
+def test_previous_value_without_rows(spark):
+    df = spark.createDataFrame([], "k string, t timestamp, i int, v double")
+    got = newest.previous_value(df, ["k"], "t", ["i"], "v", "p")
+    assert got.columns == ["k", "t", "i", "v", "p"] and got.collect() == []
+
+
 def test_repeated_keys(skewed):
     for hot in ({}, None, joins.hot_keys(skewed, {"k": ["k"]}, 300)["k"]):
         got = newest.repeated_keys(skewed, ["k"], row_id=["i"], hot=hot)

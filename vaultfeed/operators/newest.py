@@ -11,7 +11,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultfeed.operators.joins import Hot, hot_keys, spread_join
+from vaultfeed.operators.joins import ROWS_PER_TASK, Hot, hot_keys, same, spread_join
+
+#: Sampled places for each part that a large slice is cut into.
+_PLACES = 16
 
 
 def newest_first(*columns: str) -> list[Column]:
@@ -57,6 +60,20 @@ def first_value_per_key(
     return heads.select(*keys, *beside, F.col("_head._value").alias(name))
 
 
+def _cuts(df: DataFrame, group: Sequence[str], order: Column, rows_per_task: int) -> DataFrame:
+    """For each group of well more than ``rows_per_task`` rows the places in ``order`` that cut it into such parts.
+
+    The places come from one row in so many, taken by the hash of its group and order: the filter can go down to the
+    scan, and a row is on the same side of them whenever it is read again. Where the cuts lie, not what comes out,
+    depends on the rows taken.
+    """
+    apart = max(rows_per_task // _PLACES, 1)
+    seen = df.select(*group, order.alias("_at")).where(F.pmod(F.xxhash64(*group, order), F.lit(apart)) == 0)
+    places = seen.groupBy(*group).agg(F.sort_array(F.collect_list("_at")).alias("_all"))
+    cuts = F.filter("_all", lambda _, i: i % _PLACES == _PLACES - 1)
+    return places.where(F.size("_all") >= _PLACES).select(*group, cuts.alias("_cuts"))
+
+
 def previous_value(
     df: DataFrame,
     keys: Sequence[str],
@@ -65,18 +82,28 @@ def previous_value(
     value: str,
     name: str,
     slice_unit: str = "hour",
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add the ``value`` of the next older row of the same key.
 
     Rows are ordered inside one time slice of a key at a time, so a key that holds a large part
-    of the table is spread over its slices. The newest row of each slice is a partial aggregate;
-    only those few rows are walked across the whole key, to link one slice to the next older one.
+    of the table is spread over its slices; a slice of more than ``rows_per_task`` rows is cut
+    further, at places in the order by ``time`` and ``tie``, even if all its rows have one time.
+    The newest row of each part is a partial aggregate; only those few rows are walked across the
+    whole key, to link one part to the next older one. Rows equal in time and tie, whose order is
+    open, stay in one part.
     """
+    order = F.struct(time, *tie)
     sliced = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(time)))
-    group = [*keys, "_slice"]
+    # Bounded: one place for each rows_per_task rows of the table, as good as exactly, and at most one row a place.
+    cuts = F.broadcast(_cuts(sliced, [*keys, "_slice"], order, rows_per_task))
+    sliced = spread_join(sliced, cuts, same(*keys, "_slice"), null_safe=True)
+    newer = F.size(F.filter("_cuts", lambda place: place > order))
+    sliced = sliced.withColumn("_part", F.when(F.col("_cuts").isNull(), 0).otherwise(newer)).drop("_cuts")
+    group = [*keys, "_slice", "_part"]
     inside = Window.partitionBy(*group).orderBy(*newest_first(time, *tie))
-    across = Window.partitionBy(*keys).orderBy(*newest_first("_slice"))
-    head = F.max_by(F.struct(F.col(value).alias("v")), F.struct(time, *tie))
+    across = Window.partitionBy(*keys).orderBy(*newest_first("_slice"), F.col("_part"))
+    head = F.max_by(F.struct(F.col(value).alias("v")), order)
     older = (
         sliced.groupBy(*group)
         .agg(head.alias("_head"))
@@ -84,9 +111,9 @@ def previous_value(
         .drop("_head")
     )
     linked = sliced.withColumn("_next", F.lead(F.struct(F.col(value).alias("v"))).over(inside))
-    joined = spread_join(linked, older, [(k, k) for k in group], null_safe=True)
+    joined = spread_join(linked, older, same(*group), null_safe=True)
     found = F.coalesce(F.col("_next"), F.col("_older"))
-    return joined.withColumn(name, found["v"]).drop("_slice", "_next", "_older")
+    return joined.withColumn(name, found["v"]).drop("_slice", "_part", "_next", "_older")
 
 
 def repeated_keys(
