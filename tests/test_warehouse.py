@@ -3,6 +3,7 @@
 from datetime import datetime
 
 from checks import warehouse as derived
+from vaultfeed.plans.parts import Parts
 
 DAY = datetime(2000, 5, 1)
 
@@ -42,3 +43,18 @@ def test_a_small_given_table_is_dealt_to_all_cores(spark, tmp_path):
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert derived._spread(spread) is spread
     assert sorted(spread.collect()) == sorted(orders.collect())
+
+
+def test_a_family_of_columns_reads_its_own_tables_only(spark):
+    rows = {
+        "lnk_plcy_lob": spark.createDataFrame([("pl", "p", "l")], "hash_plcy_lob_id string, hash_plcy_id string, hash_lob_id string"),
+        "sat_plcy_lob_expsr": spark.createDataFrame(
+            [("pl", "A", 1, "b", DAY), ("pl", None, 2, "c", DAY)],
+            "hash_plcy_lob_id string, expsr_tp_cd string, expsr_amt int, expsr_base string, btch_dt timestamp",
+        ),
+    }
+    parts = Parts(rows)
+    wide = parts.lob_exposures()
+    prefixes = "Line of Business Exposure Amount", "Line of Business Exposure Base"
+    assert wide.columns == ["hash_plcy_id", "hash_lob_id", *(f"{p} - {t}" for p in prefixes for t in ("A", "NA"))]
+    assert [tuple(r) for r in wide.collect()] == [("p", "l", 1, 2, "b", "c")]
