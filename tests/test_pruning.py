@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 
 from checks import feeds
 from vaultfeed.operators import joins
+from vaultfeed.plans.parts import Parts
+from vaultfeed.plans.policy import FEEDS, PolicyFeeds
 
 SCAN = "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold"
 
@@ -56,3 +58,23 @@ def test_the_warehouse_queries_ask_for_it(spark, sf, settings, monkeypatch):
     monkeypatch.setattr(feeds, "_parts", {})
     feeds.parts(spark, sf)
     assert spark.conf.get(SCAN) == "64MB"
+
+
+def test_coverages_of_some_products_are_cut_to_the_source_before_the_shuffle(spark, tmp_path, settings):
+    def kept(name, rows, schema):
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}")
+        return spark.read.parquet(f"{tmp_path}/{name}")
+
+    ids, feed = [*map(str, range(400)), None, None], FEEDS["majesco"]
+    tables = {
+        "hub_plcy": kept("hub", [(i, "109" if k % 40 < 2 or i is None else "61") for k, i in enumerate(ids)], "hash_plcy_id string, rec_src_nm string"),
+        "sat_plcy_dtl": kept("detail", [(i, "BO" if k % 40 or i is None else "WC") for k, i in enumerate(ids)], "hash_plcy_id string, prod_cd string"),
+    }
+    link = kept("link", [(f"c{k}", i) for k, i in enumerate([*ids, "61", "1"])], "hash_plcy_cvrg_id string, hash_plcy_id string")
+    spark.conf.set(SCAN, "1b")
+    joins.prune_before_shuffles(spark)
+    own = PolicyFeeds(Parts(tables))._of_own(link, feed)
+    plan = _plan(own).split("Relation [hash_plcy_cvrg_id")[0]
+    assert "might_contain" in plan and "rec_src_nm" in plan
+    wanted = {*(str(k) for k in range(400) if k % 40 == 1), None}
+    assert sorted(r[0] for r in own.collect()) == sorted(f"c{k}" for k, i in enumerate([*ids, "61", "1"]) if i in wanted)
