@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import feeds
+from vaultfeed.functions.period import months_between
 from vaultfeed.operators import joins
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
@@ -78,3 +79,21 @@ def test_coverages_of_some_products_are_cut_to_the_source_before_the_shuffle(spa
     assert "might_contain" in plan and "rec_src_nm" in plan
     wanted = {*(str(k) for k in range(400) if k % 40 == 1), None}
     assert sorted(r[0] for r in own.collect()) == sorted(f"c{k}" for k, i in enumerate([*ids, "61", "1"]) if i in wanted)
+
+
+def test_a_run_of_months_of_computed_years_is_tried_on_the_other_side(spark, tmp_path, settings):
+    shown, year, month = F.col("id") % 3 > 0, F.lit(1990) + F.col("id") % 20, F.lit(1) + F.col("id") % 12
+    rows = spark.range(2000).select("id", shown.alias("shown"), year.cast("int").alias("y"), month.cast("int").alias("m"))
+    rows.write.parquet(f"{tmp_path}/details")
+    rows.select("id", F.col("id").cast("string").alias("claim")).write.parquet(f"{tmp_path}/claims")
+    details = spark.read.parquet(f"{tmp_path}/details").select("id", F.when(F.col("shown"), F.col("y")).alias("y"), "m")
+    spark.conf.set(SCAN, "1b")
+    joins.prune_before_shuffles(spark)
+    wanted = details.filter(months_between(F.col("y"), F.col("m"), (1999, 12), (2000, 11)))
+    joined = joins.spread_join(spark.read.parquet(f"{tmp_path}/claims"), wanted, joins.same("id"), "inner")
+    assert "might_contain" in _plan(joined)
+
+    def inside(k):
+        return k % 3 > 0 and (1999, 12) <= (1990 + k % 20, 1 + k % 12) <= (2000, 11)
+
+    assert sorted(r["id"] for r in joined.collect()) == [k for k in range(2000) if inside(k)]
