@@ -1,11 +1,14 @@
 """Joins leave rows that cannot match out before they shuffle them."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks import feeds
 from vaultfeed.functions.period import months_between
 from vaultfeed.operators import joins
+from vaultfeed.plans.claims import ClaimFeeds
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
 
@@ -97,3 +100,13 @@ def test_a_run_of_months_of_computed_years_is_tried_on_the_other_side(spark, tmp
         return k % 3 > 0 and (1999, 12) <= (1990 + k % 20, 1 + k % 12) <= (2000, 11)
 
     assert sorted(r["id"] for r in joined.collect()) == [k for k in range(2000) if inside(k)]
+
+
+def test_transactions_of_a_branch_are_cut_to_the_claims_of_its_source(spark, sf, settings):
+    spark.conf.set(SCAN, "1b")
+    parts = feeds.parts(spark, sf)
+    joins.prune_before_shuffles(spark)
+    plan = _plan(ClaimFeeds(parts, (1999, 12), (2000, 12)).build("esl_reserve"))
+    keys = re.findall(r"Relation \[id#\d+,(plcy#\d+)", plan)
+    filters = [line for line in plan.splitlines() if "might_contain" in line]
+    assert any(f"concat(K, {k})" in f for f in filters for k in keys)
