@@ -58,3 +58,18 @@ def test_a_family_of_columns_reads_its_own_tables_only(spark):
     prefixes = "Line of Business Exposure Amount", "Line of Business Exposure Base"
     assert wide.columns == ["hash_plcy_id", "hash_lob_id", *(f"{p} - {t}" for p in prefixes for t in ("A", "NA"))]
     assert [tuple(r) for r in wide.collect()] == [("p", "l", 1, 2, "b", "c")]
+
+
+def test_coverages_of_a_large_table_are_grouped_without_a_shuffle(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(derived, "_stored", {})
+    monkeypatch.setattr(derived, "_is_large", lambda *_: True)
+    folder = _tables(spark, tmp_path, orders=40)
+    plain = sorted(map(tuple, derived.given(spark, folder, "lineitem").select("l_orderkey", "l_linenumber").collect()))
+    assert derived.warehouse(spark, folder)["lnk_prem_tran"].count() == len(plain)
+    grouped = derived._derived(spark, folder, "base_cvrg")
+    assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    found = sorted((int(r["plcy"]), int(r["st"])) for r in derived.warehouse(spark, folder)["lnk_plcy_cvrg"].selectExpr("hash_plcy_id AS plcy", "st_prvnc_cd AS st").collect())
+    assert found == plain
+    # A query reads the files, not the buckets: its own joins and groups stay its own work.
+    own = derived.warehouse(spark, folder)["lnk_prem_tran"].groupBy("hash_plcy_id").count()
+    assert "Exchange" in own._jdf.queryExecution().executedPlan().toString()
