@@ -1,6 +1,7 @@
 """Joins leave rows that cannot match out before they shuffle them."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -110,3 +111,41 @@ def test_transactions_of_a_branch_are_cut_to_the_claims_of_its_source(spark, sf,
     keys = re.findall(r"Relation \[id#\d+,(plcy#\d+)", plan)
     filters = [line for line in plan.splitlines() if "might_contain" in line]
     assert any(f"concat(K, {k})" in f for f in filters for k in keys)
+
+
+def _own_feeds(spark, sf, folder, period=None, trace=False):
+    names = iter(range(9))
+    feeds_of = PolicyFeeds(feeds.parts(spark, sf), period, trace=trace, folder=lambda table: f"{folder}/{table}-{next(names)}")
+    spark.conf.set(SCAN, "1b")
+    joins.prune_before_shuffles(spark)
+    return feeds_of
+
+
+@pytest.mark.parametrize("name, trace", [("arrowhead", True), ("gain", False)])
+def test_tables_that_do_not_name_their_source_are_cut_to_the_rows_of_the_feed(spark, sf, tmp_path, settings, name, trace):
+    feed, own = FEEDS[name], _own_feeds(spark, sf, tmp_path, trace=trace)
+    premium = _plan(own.transactions(feed))
+    assert re.search(r"might_contain.*xxhash64\(id#", premium)  # sat_prem, before its shuffle
+    details = _plan(own.coverages(feed))
+    assert re.search(r"might_contain.*xxhash64\(pc#", details)  # sat_plcy_cvrg_dtl
+    hub = feeds.parts(spark, sf)["hub_plcy"].filter(F.col("rec_src_nm") == feed.source)
+    link = feeds.parts(spark, sf)["lnk_prem_tran"].filter(F.col("tran_tp_cd").isin(*feed.types))
+    wanted = link.join(hub, "hash_plcy_id", "left_semi").select("hash_prem_tran_id")
+    stored = spark.read.parquet(f"{tmp_path}/transactions-0").select("txn_hash_prem_tran_id")
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+def test_a_feed_has_the_same_rows_with_and_without_a_folder(spark, sf, tmp_path, settings, name="majesco"):
+    stored = _own_feeds(spark, sf, tmp_path, feeds.PERIOD)
+    plain = PolicyFeeds(feeds.parts(spark, sf), feeds.PERIOD).build(name)
+    again = stored.build(name)
+    assert stored._stored and again.columns == plain.columns
+    assert sorted(map(str, again.collect())) == sorted(map(str, plain.collect()))
+    before = len(stored._stored)
+    stored.build(name)
+    assert len(stored._stored) == before  # stored once
+
+
+def test_a_source_without_rows_can_be_stored(spark, sf, tmp_path, settings):
+    feed = replace(FEEDS["arrowhead"], source="none")
+    assert _own_feeds(spark, sf, tmp_path).transactions(feed).count() == 0
