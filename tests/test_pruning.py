@@ -149,3 +149,68 @@ def test_a_feed_has_the_same_rows_with_and_without_a_folder(spark, sf, tmp_path,
 def test_a_source_without_rows_can_be_stored(spark, sf, tmp_path, settings):
     feed = replace(FEEDS["arrowhead"], source="none")
     assert _own_feeds(spark, sf, tmp_path).transactions(feed).count() == 0
+
+
+@pytest.mark.parametrize("name, trace", [("esl", False), ("prwins", True), ("majesco", True)])
+def test_the_queries_of_a_feed_hold_few_filters_each(spark, sf, tmp_path, settings, monkeypatch, name, trace):
+    feed, seen, kept = FEEDS[name], {}, PolicyFeeds._kept
+
+    def counted(self, part, feed, df, tried=True, of=""):
+        seen[part] = _plan(df).count("might_contain")
+        return kept(self, part, feed, df, tried, of)
+
+    monkeypatch.setattr(PolicyFeeds, "_kept", counted)
+    own = replace(_own_feeds(spark, sf, tmp_path, feeds.PERIOD, trace), folder=lambda part: f"{tmp_path}/{part}")
+    seen["feed"] = _plan(own.assemble(feed)).count("might_contain")
+    assert seen["feed"] == 0 and seen["measured"] and seen["covered"]
+    assert max(seen.values()) <= 12, seen  # each passes through the driver, 8 MB in several copies
+
+
+@pytest.mark.parametrize("name", ["arrowhead", "majesco"])
+def test_the_core_has_the_same_rows_with_and_without_a_folder(spark, sf, tmp_path, settings, name):
+    stored = _own_feeds(spark, sf, tmp_path, feeds.PERIOD)
+    core = stored.core(FEEDS[name])
+    plain = PolicyFeeds(feeds.parts(spark, sf), feeds.PERIOD).core(FEEDS[name]).select(*core.columns)
+    assert sorted(map(str, core.collect())) == sorted(map(str, plain.collect()))
+    assert "might_contain" not in _plan(core)
+
+
+def test_a_stored_part_may_have_columns_of_any_name_and_is_not_broadcast_if_long(spark, tmp_path, settings, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 50)
+    names = iter(range(9))
+    hub = spark.createDataFrame([("1", "61")], "hash_plcy_id string, rec_src_nm string")
+    own = PolicyFeeds(Parts({"hub_plcy": hub}), folder=lambda table: f"{tmp_path}/{table}-{next(names)}")
+    wide = spark.range(100).select(F.col("id").cast("string").alias("k"), F.lit(1).alias("a - ,;{}()=\t.b/c"))
+    part = own._kept("wide", FEEDS["esl"], wide, tried=False)
+    assert part.columns == wide.columns and sorted(part.collect()) == sorted(wide.collect())
+    left = spark.range(100).select(F.col("id").cast("string").alias("k"))
+    few = own._kept("few", FEEDS["esl"], wide.limit(50), tried=False)
+
+    def broadcasts(right):
+        joined = left.join(right, "k", "left")
+        return "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
+
+    assert broadcasts(few) and not broadcasts(part)
+
+
+def test_filters_have_the_size_for_their_keys(spark, settings):
+    joins.prune_before_shuffles(spark)
+    bits, items = joins._BITS, joins._ITEMS
+    before = spark.conf.get(bits), spark.conf.get(items)
+    with joins.filters_for(spark, 1_000_000):
+        assert spark.conf.get(bits) == "8000000" and round(8e6 / int(spark.conf.get(items)) * 0.6931) == 4
+    with joins.filters_for(spark, 10**9):
+        assert (spark.conf.get(bits), spark.conf.get(items)) == before
+    assert (spark.conf.get(bits), spark.conf.get(items)) == before
+
+
+def test_a_part_is_stored_with_filters_for_its_keys(spark, sf, tmp_path, settings, monkeypatch):
+    asked, filters_for = [], joins.filters_for
+    monkeypatch.setattr(joins, "filters_for", lambda s, keys: asked.append(keys) or filters_for(s, keys))
+    own, feed = _own_feeds(spark, sf, tmp_path, feeds.PERIOD), FEEDS["esl"]
+    policies = feeds.parts(spark, sf)["hub_plcy"].filter(F.col("rec_src_nm") == feed.source).count()
+    links = own._kept("measured", feed, own.transactions(feed), False, "transactions")
+    wanted = own.transactions(feed).select("txn_hash_prem_tran_id").count()
+    assert asked == [policies, spark.read.parquet(f"{tmp_path}/transactions-0").count()]
+    assert links.count() == wanted
