@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from checks import feeds
 from vaultfeed.functions.period import months_between
 from vaultfeed.operators import joins
+from vaultfeed.plans import split
 from vaultfeed.plans.claims import ClaimFeeds
 from vaultfeed.plans.parts import Parts
 from vaultfeed.plans.policy import FEEDS, PolicyFeeds
@@ -214,3 +215,12 @@ def test_a_part_is_stored_with_filters_for_its_keys(spark, sf, tmp_path, setting
     wanted = own.transactions(feed).select("txn_hash_prem_tran_id").count()
     assert asked == [policies, spark.read.parquet(f"{tmp_path}/transactions-0").count()]
     assert links.count() == wanted
+
+
+def test_united_feeds_are_joined_one_by_one_before_they_meet(spark, sf, tmp_path, settings):
+    united = split.combined_policies(spark, feeds.parts(spark, sf), f"{tmp_path}/by-source", feeds.PERIOD, ["esl", "prwins"])
+    plan = _plan(united)
+    assert "Join" not in plan and "Aggregate" not in plan and "Union" in plan
+    plain = PolicyFeeds(feeds.parts(spark, sf), feeds.PERIOD).union(["esl", "prwins"])
+    assert united.columns == plain.columns
+    assert sorted(map(str, united.collect())) == sorted(map(str, plain.collect()))
